@@ -34,15 +34,15 @@ def with_hash_rank(
     offsets = sizes.select(
         "_b",
         F.coalesce(F.sum("_n").over(order), F.lit(0)).alias("_before"),
-        F.sum("_n").over(Window.partitionBy()).alias("_total"),
+        F.sum("_n").over(Window.partitionBy()).alias("_all"),
     )
     within = Window.partitionBy("_b").orderBy("_h", *keys)
     ranked = bucketed.join(F.broadcast(offsets), "_b").withColumn(
         rank, F.col("_before") + F.row_number().over(within)
     )
     if total:
-        ranked = ranked.withColumn(total, F.col("_total"))
-    return ranked.drop("_h", "_b", "_before", "_total")
+        ranked = ranked.withColumn(total, F.col("_all"))
+    return ranked.drop("_h", "_b", "_before", "_all")
 
 
 def rng(base: int, track: str, index: int) -> np.random.Generator:

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 STATE_BYTES = 512 << 20
 STEP_CELLS = 4_000_000
 TASKS_PER_CORE = 2
+# Tables up to this many rows may sit in fewer file splits than there are cores.
+SMALL_ROWS = 2_000_000
 
 PARTIAL = "block int, i int, vec array<double>"
 
@@ -56,6 +58,13 @@ def accumulate(df: DataFrame, kernel: Callable) -> DataFrame:
     return total.select("block", "i", vector_to_array("v").alias("vec"))
 
 
+def spread(df: DataFrame, n_rows: int | None) -> DataFrame:
+    """Shuffle a table known to be small over all cores, before work that is heavy per row."""
+    if n_rows is None or n_rows > SMALL_ROWS:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def panels(columns: int, blocks: int = 1) -> list[tuple[int, int]]:
     """Ranges of matrix rows such that one scan's accumulators stay within STATE_BYTES."""
     height = max(1, STATE_BYTES // (8 * max(columns, 1) * max(blocks, 1)))

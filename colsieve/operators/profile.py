@@ -14,8 +14,10 @@ from colsieve.session import cut_lineage
 RANGE_EPS = 1e-6
 CDF_POINTS = 1000
 
-# Cells one in-memory `percentile` buffer set may hold; beyond it ranks are found by shuffling.
-MEMORY_CELLS = 20_000_000
+# Cells that may be ordered in memory at once; beyond it ranks are found by shuffling.
+MEMORY_CELLS = 8_000_000
+# Spark's percentile walks all distinct values once per requested point.
+FEW_PROBS = 16
 COLUMNS_PER_JOB = 64
 SLICE_ROWS = 1_000_000
 MAX_SLICES = 2048
@@ -52,6 +54,31 @@ def _moment_fields(c: Column):
     ]
 
 
+def _sorted_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> DataFrame:
+    """Quantiles from one sorted array per column, columns spread over tasks.
+
+    Only called where rows x columns is at most MEMORY_CELLS.
+    """
+    cells = [
+        F.struct(F.lit(c).alias("col"), F.col(f"`{c}`").cast("double").alias("value"))
+        for c in columns
+    ]
+    ordered = (
+        df.select(F.inline(F.array(*cells))).groupBy("col")
+        .agg(F.sort_array(F.collect_list("value")).alias("v"))
+    )
+    wanted = F.array(*[F.lit(float(p)) for p in probs])
+
+    def interpolate(p):
+        place = p * (F.size("v") - 1)
+        low = F.try_element_at("v", F.floor(place).cast("int") + 1)
+        high = F.try_element_at("v", F.ceil(place).cast("int") + 1)
+        share = place - F.floor(place)
+        return low + share * (high - low)
+
+    return ordered.select("col", F.transform(wanted, interpolate).alias("q"))
+
+
 def _exact_field(c: Column, probs: list[float]):
     return ("q", F.percentile(c, F.array(*[F.lit(float(p)) for p in probs])))
 
@@ -85,6 +112,8 @@ def quantiles(
     1e-4) for a single scan and is never chosen automatically.
     """
     strategy, width = _choose(df, strategy, n_rows)
+    if strategy == "memory" and len(probs) > FEW_PROBS:
+        return _union([_sorted_quantiles(df, b, probs) for b in _batches(columns, width)])
     if strategy == "sketch":
         def fields(c: Column):
             return [("q", F.percentile_approx(c, list(probs), 10_000).cast("array<double>"))]
@@ -102,19 +131,22 @@ def measures(
     df: DataFrame, columns: list[str], probs: list[float], strategy: str = "auto",
     n_rows: int | None = None,
 ) -> DataFrame:
-    """Moments and quantiles together; one scan where the quantiles fit in memory."""
+    """Moments and quantiles together; one scan where a few quantiles fit in memory."""
     strategy, width = _choose(df, strategy, n_rows)
-    if strategy == "memory":
+    if strategy == "memory" and len(probs) <= FEW_PROBS:
         def fields(c: Column):
             return [*_moment_fields(c), _exact_field(c, probs)]
         return _union([_per_column(df, b, fields) for b in _batches(columns, width)])
     return moments(df, columns).join(quantiles(df, columns, probs, strategy, n_rows), "col")
 
 
-def _slices(df: DataFrame, columns: list[str]) -> tuple[DataFrame, list[str]]:
-    """Add, per column, the slice its value falls in; slices hold about equally many values."""
+def _slices(df: DataFrame, columns: list[str], n_probs: int) -> tuple[DataFrame, list[str]]:
+    """Add, per column, the slice its value falls in; slices hold about equally many values.
+
+    Slices are small enough to sort, and many enough that each holds a few wanted ranks only.
+    """
     n = df.count()
-    count = max(2, min(MAX_SLICES, math.ceil(n / SLICE_ROWS)))
+    count = max(2, min(MAX_SLICES, max(math.ceil(n / SLICE_ROWS), n_probs // 4)))
     grid = [i / count for i in range(1, count)]
     row = df.agg(
         *[F.percentile_approx(f"`{c}`", grid, max(10_000, 4 * count)).alias(c) for c in columns]
@@ -130,7 +162,8 @@ def _slices(df: DataFrame, columns: list[str]) -> tuple[DataFrame, list[str]]:
 
 
 def _rank_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> DataFrame:
-    sliced, names = _slices(df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in columns]), columns)
+    numbers = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in columns])
+    sliced, names = _slices(numbers, columns, len(probs))
     long = sliced.select(
         F.inline(
             F.array(
@@ -199,7 +232,7 @@ def _rank_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> Da
         place = p * (F.col("n_valid") - 1)
         low, high = F.element_at("at", F.floor(place)), F.element_at("at", F.ceil(place))
         share = place - F.floor(place)
-        return (1 - share) * low + share * high
+        return low + share * (high - low)
 
     named = F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("pos") + 1)
     filled = table.select(named.alias("col"), F.transform(wanted, interpolate).alias("q"))
@@ -227,7 +260,7 @@ def profile(
 ) -> DataFrame:
     """One row per column with the measures that decide what is kept.
 
-    With ``cdf_points`` the CDF table comes along as column ``cdf``, from the same scan.
+    With ``cdf_points`` the CDF table comes along as column ``cdf``.
     """
     probs = [*trim, *(cdf_probs(cdf_points) if cdf_points else [])]
     measured = measures(df, columns, probs, strategy, n_rows)

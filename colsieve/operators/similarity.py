@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from colsieve.functions.hashing import projections
 from colsieve.functions.normal import normal_scores
-from colsieve.operators.gram import STATE_BYTES, STEP_CELLS, accumulate, as_partials, matrix, panels
+from colsieve.operators.gram import (
+    STATE_BYTES, STEP_CELLS, accumulate, as_partials, matrix, panels, spread,
+)
 
 # Bytes of CDF tables that may travel with a kernel.
 TABLE_BYTES = 256 << 20
@@ -57,7 +59,7 @@ def pairs_of(spark: SparkSession, corr: np.ndarray) -> DataFrame:
     return as_pairs(spark.createDataFrame(rows, "i int, vec array<double>"))
 
 
-def _standardise(total: DataFrame) -> DataFrame:
+def correlation_pairs(total: DataFrame) -> DataFrame:
     """Summed cross products of ``[1, z]`` as correlations ``(i, j, s)``, without the driver."""
     pairs = as_pairs(total.select("i", "vec"))
     sums = total.filter("i = 0").select(F.posexplode("vec").alias("k", "sum"))
@@ -106,7 +108,7 @@ def normal_scores_correlation(df: DataFrame, columns: list[str], knots: np.ndarr
     total = frames[0]
     for other in frames[1:]:
         total = total.unionByName(other)
-    return _standardise(total)
+    return correlation_pairs(total)
 
 
 def pearson_pairwise(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -146,18 +148,19 @@ def _sines(z: np.ndarray, weights: np.ndarray) -> np.ndarray:
 
 
 def sine_dependence(
-    df: DataFrame, columns: list[str], knots: np.ndarray | None, weights: np.ndarray
+    df: DataFrame, columns: list[str], knots: np.ndarray | None, weights: np.ndarray,
+    n_rows: int | None = None,
 ) -> DataFrame:
     """Mean correlation of random sine features per weight block: ``(block, i, j, s)``.
 
     ``weights`` is shaped (block, column, feature). The first scan finds mean and deviation
     of every feature, the second adds up products of standardised features. With ``knots``
     the columns pass through normal scores first. Blocks are split over several scans where
-    their matrices would not fit in a task.
+    their matrices would not fit in a task. ``n_rows`` lets a small table use all cores.
     """
     p = len(columns)
     context = df.sparkSession.sparkContext
-    source = df.select(*[F.col(f"`{c}`") for c in columns])
+    source = spread(df.select(*[F.col(f"`{c}`") for c in columns]), n_rows)
     tables = context.broadcast(knots)  # at most TABLE_BYTES
 
     def scored(batches, features: int):
@@ -187,13 +190,13 @@ def sine_dependence(
 
         centre = np.zeros((blocks, p, features))
         width = np.ones((blocks, p, features))
-        n_rows = 0.0
+        total_rows = 0.0
         for r in accumulate(source, first).toLocalIterator():  # blocks x columns x features
             v = np.array(r["vec"])
-            n_rows = v[0]
-            mean = v[1 : 1 + features] / n_rows
-            spread = np.clip(v[1 + features :] / n_rows - mean**2, 0, None)
-            sd = np.sqrt(spread * n_rows / max(n_rows - 1, 1))
+            total_rows = v[0]
+            mean = v[1 : 1 + features] / total_rows
+            variance = np.clip(v[1 + features :] / total_rows - mean**2, 0, None)
+            sd = np.sqrt(variance * total_rows / max(total_rows - 1, 1))
             centre[r["block"], r["i"]] = mean
             width[r["block"], r["i"]] = np.where(sd < 1e-10, 1.0, sd)
         scale = context.broadcast((centre, width))
@@ -208,7 +211,7 @@ def sine_dependence(
                     total[b] += flat @ flat.T
             yield from as_partials(total)
 
-        divisor = max(n_rows, 1.0) * features
+        divisor = max(total_rows, 1.0) * features
         bounded = F.greatest(F.least(F.col("s") / divisor, F.lit(1.0)), F.lit(-1.0))
         done = accumulate(source, second).select(
             (F.col("block") + start).alias("block"), "i", F.posexplode("vec").alias("j", "s")
@@ -230,18 +233,20 @@ def lower_median(blocks: DataFrame, per_repetition: int = 1) -> DataFrame:
 
 def hsic_like(
     df: DataFrame, columns: list[str], knots: np.ndarray, seed: int = 42,
-    features: int = 50, repetitions: int = 8,
+    features: int = 50, repetitions: int = 8, n_rows: int | None = None,
 ) -> DataFrame:
+    """HSIC-style dependence: lower median over repetitions."""
     w = projections(seed, "hsic", repetitions, len(columns), features)
-    return lower_median(sine_dependence(df, columns, knots, w))
+    return lower_median(sine_dependence(df, columns, knots, w, n_rows))
 
 
 def rdc_like(
     df: DataFrame, columns: list[str], knots: np.ndarray, seed: int = 42,
-    features: int = 20, repetitions: int = 8, draws: int = 10,
+    features: int = 20, repetitions: int = 8, draws: int = 10, n_rows: int | None = None,
 ) -> DataFrame:
+    """RDC-style dependence: mean over draws, then lower median over repetitions."""
     w = projections(seed, "rdc", repetitions * draws, len(columns), features)
-    return lower_median(sine_dependence(df, columns, knots, w), draws)
+    return lower_median(sine_dependence(df, columns, knots, w, n_rows), draws)
 
 
 def fuse(h: DataFrame, r: DataFrame, w_h: float = 0.5, w_r: float = 0.5) -> DataFrame:

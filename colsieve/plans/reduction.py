@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from colsieve import sinks
 from colsieve.config import Config
-from colsieve.functions.hashing import projections
 from colsieve.operators import graph, lineage, similarity, vif
 from colsieve.operators.gram import STATE_BYTES
 from colsieve.operators.profile import keep_reason, profile
@@ -209,13 +208,14 @@ class Reduction:
             return similarity.pairs_of(self.spark, np.eye(p))
 
         def hsic():
-            w = projections(seed, "hsic", f.r, p, f.hsic_D)
-            return similarity.lower_median(similarity.sine_dependence(self.features, columns, knots, w))
+            return similarity.hsic_like(
+                self.features, columns, knots, seed, f.hsic_D, f.r, self.n_rows
+            )
 
         def rdc():
-            w = projections(seed, "rdc", f.r * f.rdc_seeds, p, f.rdc_d)
-            blocks = similarity.sine_dependence(self.features, columns, knots, w)
-            return similarity.lower_median(blocks, f.rdc_seeds)
+            return similarity.rdc_like(
+                self.features, columns, knots, seed, f.rdc_d, f.r, f.rdc_seeds, self.n_rows
+            )
 
         fused = self._saved("pass4_similarity", lambda: similarity.fuse(
             hsic() if f.w_hsic > 0 else identity(), rdc() if f.w_rdc > 0 else identity(),
