@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from colsieve.functions.hashing import projections
 from colsieve.functions.normal import normal_scores
+from colsieve.operators.profile import moments
 from colsieve.operators.gram import (
     STATE_BYTES, STEP_CELLS, accumulate, as_partials, matrix, panels, spread,
 )
@@ -112,26 +113,68 @@ def normal_scores_correlation(df: DataFrame, columns: list[str], knots: np.ndarr
 
 
 def pearson_pairwise(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Correlation of each pair over the rows complete in that pair: ``(i, j, s)``, i <= j.
+    """Correlation of each pair over the rows complete in that pair: long ``(i, j, s)``.
 
-    One aggregate per column with all its partners; every scan reads the columns it needs.
+    One scan finds the means, a second one four matrices: how many rows a pair shares, and
+    over those the sums, squares and products of the values.
     """
-    frames = []
-    for i in range(len(columns)):
-        cells = [
-            F.struct(
-                F.lit(i).alias("i"), F.lit(j).alias("j"),
-                (F.lit(1.0) if i == j else F.corr(f"`{columns[i]}`", f"`{columns[j]}`")).alias("s"),
+    p = len(columns)
+    means = {r["col"]: r["mean"] or 0.0 for r in moments(df, columns).select("col", "mean").collect()}
+    centre = np.array([means[c] for c in columns])
+
+    def panel(lo: int, hi: int) -> DataFrame:
+        def kernel(batches):
+            total = np.zeros((4, hi - lo, p))
+            for batch in batches:
+                x = matrix(batch, columns) - centre
+                there = (~np.isnan(x)).astype(float)
+                x = np.nan_to_num(x)
+                total[0] += there[:, lo:hi].T @ there
+                total[1] += x[:, lo:hi].T @ there
+                total[2] += (x[:, lo:hi] ** 2).T @ there
+                total[3] += x[:, lo:hi].T @ x
+            yield from as_partials(total)
+
+        rows = accumulate(df.select(*[F.col(f"`{c}`") for c in columns]), kernel)
+        return rows.withColumn("i", F.col("i") + lo)
+
+    frames = [panel(lo, hi) for lo, hi in panels(p, 4)]
+    total = frames[0]
+    for other in frames[1:]:
+        total = total.unionByName(other)
+    sums = total.select("block", "i", F.posexplode("vec").alias("j", "v")).groupBy("i", "j").agg(
+        *[F.sum(F.when(F.col("block") == k, F.col("v"))).alias(n)
+          for k, n in enumerate(("n", "sx", "sxx", "sxy"))]
+    )
+    # Both halves of a pair meet in one group: (i, j) as it is and (j, i) turned round.
+    turned = sums.select(
+        F.least("i", "j").alias("a"), F.greatest("i", "j").alias("b"), "n", "sx", "sxx", "sxy",
+        (F.col("i") <= F.col("j")).alias("upper"),
+    )
+    side = lambda c, up: F.max(F.when(F.col("upper") == up, F.col(c)))
+    pair = turned.groupBy("a", "b").agg(
+        side("n", True).alias("n"), side("sxy", True).alias("sxy"),
+        side("sx", True).alias("xa"), F.coalesce(side("sx", False), side("sx", True)).alias("xb"),
+        side("sxx", True).alias("qa"), F.coalesce(side("sxx", False), side("sxx", True)).alias("qb"),
+    )
+    n = F.col("n")
+    va = n * F.col("qa") - F.col("xa") * F.col("xa")
+    vb = n * F.col("qb") - F.col("xb") * F.col("xb")
+    scale = F.sqrt(F.greatest(va, F.lit(0.0)) * F.greatest(vb, F.lit(0.0)))
+    value = F.try_divide(n * F.col("sxy") - F.col("xa") * F.col("xb"), scale)
+    upper = pair.select(
+        F.col("a").alias("i"), F.col("b").alias("j"),
+        F.when(F.col("a") == F.col("b"), 1.0)
+        .otherwise(F.greatest(F.least(value, F.lit(1.0)), F.lit(-1.0))).alias("s"),
+    )
+    return upper.select(
+        F.inline(
+            F.when(F.col("i") == F.col("j"), F.array(F.struct("i", "j", "s"))).otherwise(
+                F.array(F.struct("i", "j", "s"),
+                        F.struct(F.col("j").alias("i"), F.col("i").alias("j"), "s"))
             )
-            for j in range(i, len(columns))
-        ]
-        frames.extend(cells)
-    width = 256
-    out = None
-    for at in range(0, len(frames), width):
-        part = df.agg(F.array(*frames[at : at + width]).alias("cells")).select(F.inline("cells"))
-        out = part if out is None else out.unionByName(part)
-    return out
+        )
+    )
 
 
 def rank_correlation(df: DataFrame, columns: list[str]) -> DataFrame:

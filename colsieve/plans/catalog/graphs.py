@@ -101,11 +101,8 @@ SELECT col, component, round(CASE WHEN size > 1 THEN total / (size - 1) ELSE 1 E
 FROM scored
 """)
 def representatives_by_similarity(spark, folder):
-    upper = _pairs(spark, folder)
-    whole = upper.unionByName(
-        upper.filter("i < j").select(F.col("j").alias("i"), F.col("i").alias("j"), "s")
-    )
-    elected = G.elect_by_similarity(whole, _labels(spark, upper, 0.7))
+    pairs = _pairs(spark, folder)
+    elected = G.elect_by_similarity(pairs, _labels(spark, pairs, 0.7))
     return elected.select(
         named(USABLE, "pos").alias("col"), "component",
         F.round("mean_similarity", 4).alias("mean_similarity"), "is_representative",

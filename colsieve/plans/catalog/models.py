@@ -147,15 +147,15 @@ def ridge_two_features(spark, folder):
 WITH li AS ({features_sql(['f1', 'f7'])}),
 z AS (SELECT (f1 - avg(f1) OVER ()) / stddev_pop(f1) OVER () AS a, f7 AS y FROM li),
 c AS (SELECT covar_pop(a, y) AS ay, avg(y) AS m FROM z)
-SELECT 'Lasso' AS model, round(sign(ay) * greatest(abs(ay) - 0.1, 0), 4) AS beta, round(m, 4) AS intercept FROM c
+SELECT 'Lasso' AS model, round(sign(ay) * greatest(abs(ay) - 0.1, 0), 4) AS beta, round(m, 3) AS intercept FROM c
 UNION ALL
-SELECT 'ElasticNet', round(sign(ay) * greatest(abs(ay) - 0.05, 0) / 1.05, 4), round(m, 4) FROM c
+SELECT 'ElasticNet', round(sign(ay) * greatest(abs(ay) - 0.05, 0) / 1.05, 4), round(m, 3) FROM c
 """)
 def sparse_one_feature(spark, folder):
     rows = []
     for model in ("Lasso", "ElasticNet"):
         beta, b0 = _fit(spark, folder, model, ["f1"], "f7")
-        rows.append((model, round(float(beta[0]), 4), round(b0, 4)))
+        rows.append((model, round(float(beta[0]), 4), round(b0, 3)))
     return spark.createDataFrame(rows, "model string, beta double, intercept double")
 
 

@@ -73,9 +73,9 @@ def normal_scores_corr(spark, folder):
     return name_pairs(S.normal_scores_correlation(li, USABLE, _knots(li, USABLE)), USABLE)
 
 
-def _pearson_sql(names: list[str], source: str) -> str:
+def _pearson_sql(names: list[str], source: str, digits: int = 6) -> str:
     return " UNION ALL ".join(
-        f"SELECT '{a}' AS a, '{b}' AS b, round(corr({a}, {b}), 6) AS s FROM {source}"
+        f"SELECT '{a}' AS a, '{b}' AS b, round(corr({a}, {b}), {digits}) AS s FROM {source}"
         for i, a in enumerate(names) for b in names[i + 1 :]
     )
 
@@ -305,14 +305,13 @@ def lower_median(spark, folder):
     return S.lower_median(blocks).select(F.col("i").alias("k"), F.col("s").alias("mid"))
 
 
-@query(f"WITH li AS ({features_sql(USABLE)}), h AS (" + _pearson_sql(USABLE, "li") + "), r AS (" + _pearson_sql(
-    USABLE, "(SELECT " + ", ".join(f"sqrt(abs({c})) AS {c}" for c in USABLE) + " FROM li)") + """)
-SELECT h.a, h.b, round(greatest(least(0.75 * h.s + 0.25 * r.s, 1), -1), 5) AS s
+@query(f"WITH li AS ({features_sql(USABLE)}), h AS (" + _pearson_sql(USABLE, "li", 12) + "), r AS (" + _pearson_sql(
+    USABLE, "(SELECT " + ", ".join(f"sqrt(abs({c})) AS {c}" for c in USABLE) + " FROM li)", 12) + """)
+SELECT h.a, h.b, round(greatest(least(0.75 * h.s + 0.25 * r.s, 1), -1), 6) AS s
 FROM h JOIN r ON h.a = r.a AND h.b = r.b
 """)
 def fuse_similarity(spark, folder):
     li = features(spark, folder, USABLE)
     rooted = li.select(*[F.sqrt(F.abs(c)).alias(c) for c in USABLE])
-    six = lambda p: p.select("i", "j", r6("s").alias("s"))
-    fused = S.fuse(six(S.pearson_pairwise(li, USABLE)), six(S.pearson_pairwise(rooted, USABLE)), 3.0, 1.0)
-    return name_pairs(fused, USABLE).withColumn("s", F.round("s", 5))
+    fused = S.fuse(S.pearson_pairwise(li, USABLE), S.pearson_pairwise(rooted, USABLE), 3.0, 1.0)
+    return name_pairs(fused, USABLE)

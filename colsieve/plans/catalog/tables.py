@@ -137,14 +137,14 @@ def overlap_anti(spark, folder):
 
 
 @query("""
-WITH c AS (SELECT event_id // 250 AS chunk, count(*) AS n_rows, max(value) AS top FROM events GROUP BY 1)
+WITH c AS (SELECT event_id // 250 AS chunk, count(*) AS n_rows FROM events GROUP BY 1)
 SELECT chunk, n_rows FROM c
-WHERE chunk NOT IN (SELECT event_id // 250 FROM events WHERE event_type = 'error' AND value > 90)
+WHERE chunk NOT IN (SELECT event_id // 250 FROM events WHERE event_type = 'error' AND value > 250)
 """)
 def resume_chunks(spark, folder):
     events = table(spark, folder, "events").withColumn("chunk", F.expr("event_id div 250"))
     chunks = events.groupBy("chunk").agg(F.count("*").alias("n_rows"))
-    done = events.filter("event_type = 'error' AND value > 90")
+    done = events.filter("event_type = 'error' AND value > 250")
     return missing_chunks(chunks, done, "chunk")
 
 
