@@ -17,11 +17,9 @@ def with_group_rank(
     and shifted by the sizes of the slices before, so a group holding a third of all rows is
     still spread over up to ``slices`` tasks.
     """
-    bounds = df.agg(F.min(order).alias("_lo"), F.max(order).alias("_hi"))  # one row
-    width = (F.col("_hi") - F.col("_lo") + 1) / F.lit(float(slices))
-    sliced = df.crossJoin(F.broadcast(bounds)).withColumn(
-        "_slice", F.floor((F.col(order) - F.col("_lo")) / width).cast("int")
-    )
+    low, high = df.agg(F.min(order)).scalar(), df.agg(F.max(order)).scalar()
+    width = (high - low + 1) / F.lit(float(slices))
+    sliced = df.withColumn("_slice", F.floor((F.col(order) - low) / width).cast("int"))
     sizes = sliced.groupBy(*groups, "_slice").agg(F.count("*").alias("_n"))
     before = Window.partitionBy(*groups).orderBy("_slice").rowsBetween(
         Window.unboundedPreceding, -1
@@ -34,5 +32,5 @@ def with_group_rank(
     return (
         join_null_safe(numbered, offsets, [*groups, "_slice"])
         .withColumn(rank, F.col("_before") + F.col("_at"))
-        .drop("_slice", "_lo", "_hi", "_before", "_at")
+        .drop("_slice", "_before", "_at")
     )

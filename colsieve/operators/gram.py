@@ -50,7 +50,11 @@ def accumulate(df: DataFrame, kernel: Callable) -> DataFrame:
     A kernel's state does not grow with its input, so tasks take many file splits each:
     what is shuffled is proportional to the number of cores, not to the data.
     """
-    tasks = TASKS_PER_CORE * df.sparkSession.sparkContext.defaultParallelism
+    spark = df.sparkSession
+    tasks = max(
+        TASKS_PER_CORE * spark.sparkContext.defaultParallelism,
+        int(spark.conf.get("spark.sql.shuffle.partitions")),
+    )
     partial = df.coalesce(tasks).mapInArrow(kernel, PARTIAL)
     total = partial.groupBy("block", "i").agg(
         Summarizer.sum(array_to_vector(F.col("vec"))).alias("v")
@@ -123,7 +127,7 @@ def collect_blocks(rows: DataFrame, blocks: int, size: int) -> np.ndarray:
     if blocks * size * size * 8 > 4 * STATE_BYTES:
         raise ValueError(f"{blocks} x {size}^2 matrix is too large for the driver")
     out = np.zeros((blocks, size, size))
-    for record in rows.toLocalIterator():
+    for record in rows.collect():
         out[record["block"], record["i"]] = record["vec"]
     return out
 

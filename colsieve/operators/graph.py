@@ -52,7 +52,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
         "a", F.least("a", "m").alias("m")
     )
     moved = both.filter("b > a").join(smallest, "a")
-    return moved.select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    return moved.select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -76,16 +76,12 @@ def elect_by_quality(profiled: DataFrame, labels: DataFrame) -> DataFrame:
 
     ``profiled`` has pos, col, missing_ratio, variance; ``labels`` has i (a pos), component.
     """
-    top = profiled.agg(F.max("variance").alias("top"))  # one row
-    scored = (
-        profiled.join(labels, profiled["pos"] == labels["i"])
-        .crossJoin(F.broadcast(top))
-        .select(
-            "component", "pos", "col",
-            quality_score(F.col("missing_ratio"), F.col("variance"), F.col("top")).alias("quality"),
-        )
+    top = profiled.agg(F.max("variance")).scalar()
+    scored = profiled.join(labels, profiled["pos"] == labels["i"]).select(
+        "component", "pos", "col",
+        quality_score(F.col("missing_ratio"), F.col("variance"), top).alias("quality"),
     )
-    return elect(scored, "quality")
+    return _elect(scored, "quality")
 
 
 def elect_by_similarity(pairs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -106,10 +102,10 @@ def elect_by_similarity(pairs: DataFrame, labels: DataFrame) -> DataFrame:
             .otherwise(F.lit(1.0)).alias("mean_similarity"),
         )
     )
-    return elect(scored, "mean_similarity")
+    return _elect(scored, "mean_similarity")
 
 
-def elect(scored: DataFrame, score: str) -> DataFrame:
+def _elect(scored: DataFrame, score: str) -> DataFrame:
     """Mark the best member per component (ties go to the lower position)."""
     best = F.max(F.struct(F.col(score).alias("score"), (-F.col("pos")).alias("near")))
     winners = scored.groupBy("component").agg(best.alias("w"), F.count("*").alias("size")).select(

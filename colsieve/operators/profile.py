@@ -16,8 +16,6 @@ CDF_POINTS = 1000
 
 # Cells that may be ordered in memory at once; beyond it ranks are found by shuffling.
 MEMORY_CELLS = 8_000_000
-# Spark's percentile walks all distinct values once per requested point.
-FEW_PROBS = 16
 COLUMNS_PER_JOB = 64
 SLICE_ROWS = 1_000_000
 MAX_SLICES = 2048
@@ -54,18 +52,20 @@ def _moment_fields(c: Column):
     ]
 
 
-def _sorted_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> DataFrame:
-    """Quantiles from one sorted array per column, columns spread over tasks.
+def _sorted_measures(
+    df: DataFrame, columns: list[str], probs: list[float], with_moments: bool
+) -> DataFrame:
+    """Measures and quantiles from one sorted array per column, columns spread over tasks.
 
     Only called where rows x columns is at most MEMORY_CELLS.
     """
     cells = [
-        F.struct(F.lit(c).alias("col"), F.col(f"`{c}`").cast("double").alias("value"))
-        for c in columns
+        F.struct(F.lit(i).alias("pos"), F.col(f"`{c}`").cast("double").alias("value"))
+        for i, c in enumerate(columns)
     ]
-    ordered = (
-        df.select(F.inline(F.array(*cells))).groupBy("col")
-        .agg(F.sort_array(F.collect_list("value")).alias("v"))
+    extra = [v.alias(n) for n, v in _moment_fields(F.col("value"))] if with_moments else []
+    ordered = df.select(F.inline(F.array(*cells))).groupBy("pos").agg(
+        *extra, F.sort_array(F.collect_list("value")).alias("v")
     )
     wanted = F.array(*[F.lit(float(p)) for p in probs])
 
@@ -76,11 +76,9 @@ def _sorted_quantiles(df: DataFrame, columns: list[str], probs: list[float]) ->
         share = place - F.floor(place)
         return low + share * (high - low)
 
-    return ordered.select("col", F.transform(wanted, interpolate).alias("q"))
-
-
-def _exact_field(c: Column, probs: list[float]):
-    return ("q", F.percentile(c, F.array(*[F.lit(float(p)) for p in probs])))
+    name = F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("pos") + 1)
+    names = [n for n, _ in _moment_fields(F.lit(0))] if with_moments else []
+    return ordered.select(name.alias("col"), *names, F.transform(wanted, interpolate).alias("q"))
 
 
 def moments(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -106,20 +104,16 @@ def quantiles(
 ) -> DataFrame:
     """Exact linearly interpolated quantiles as ``(col, q array<double>)``.
 
-    ``memory`` keeps the value counts of some columns in one aggregate; it is chosen only
-    where rows x columns is small. ``ranks`` finds the same order statistics by shuffling
+    ``memory`` sorts each column as one array; it is chosen only where rows x columns is small. ``ranks`` finds the same order statistics by shuffling
     slices of each column, at any number of rows. ``sketch`` trades exactness (rank error
     1e-4) for a single scan and is never chosen automatically.
     """
     strategy, width = _choose(df, strategy, n_rows)
-    if strategy == "memory" and len(probs) > FEW_PROBS:
-        return _union([_sorted_quantiles(df, b, probs) for b in _batches(columns, width)])
+    if strategy == "memory":
+        return _union([_sorted_measures(df, b, probs, False) for b in _batches(columns, width)])
     if strategy == "sketch":
         def fields(c: Column):
             return [("q", F.percentile_approx(c, list(probs), 10_000).cast("array<double>"))]
-    elif strategy == "memory":
-        def fields(c: Column):
-            return [_exact_field(c, probs)]
     elif strategy == "ranks":
         return _union([_rank_quantiles(df, b, probs) for b in _batches(columns, width)])
     else:
@@ -131,12 +125,10 @@ def measures(
     df: DataFrame, columns: list[str], probs: list[float], strategy: str = "auto",
     n_rows: int | None = None,
 ) -> DataFrame:
-    """Moments and quantiles together; one scan where a few quantiles fit in memory."""
+    """Moments and quantiles together; one scan where the values fit in memory."""
     strategy, width = _choose(df, strategy, n_rows)
-    if strategy == "memory" and len(probs) <= FEW_PROBS:
-        def fields(c: Column):
-            return [*_moment_fields(c), _exact_field(c, probs)]
-        return _union([_per_column(df, b, fields) for b in _batches(columns, width)])
+    if strategy == "memory":
+        return _union([_sorted_measures(df, b, probs, True) for b in _batches(columns, width)])
     return moments(df, columns).join(quantiles(df, columns, probs, strategy, n_rows), "col")
 
 
@@ -161,23 +153,17 @@ def _slices(df: DataFrame, columns: list[str], n_probs: int) -> tuple[DataFrame,
     return bucketizer.transform(df), names
 
 
-def _rank_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> DataFrame:
+def _long_slices(df: DataFrame, columns: list[str], n_probs: int) -> tuple[DataFrame, DataFrame]:
+    """Every value as ``(pos, slice, value)``, and where each slice starts among the ranks."""
     numbers = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in columns])
-    sliced, names = _slices(numbers, columns, len(probs))
-    long = sliced.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(i).alias("pos"), F.col(s).cast("int").alias("slice"),
-                        F.col(f"`{c}`").alias("value"),
-                    )
-                    for i, (c, s) in enumerate(zip(columns, names))
-                ]
-            )
+    sliced, names = _slices(numbers, columns, n_probs)
+    cells = [
+        F.struct(
+            F.lit(i).alias("pos"), F.col(s).cast("int").alias("slice"), F.col(f"`{c}`").alias("value")
         )
-    ).filter(F.col("value").isNotNull())
-
+        for i, (c, s) in enumerate(zip(columns, names))
+    ]
+    long = sliced.select(F.inline(F.array(*cells))).filter(F.col("value").isNotNull())
     sizes = long.groupBy("pos", "slice").agg(F.count("*").alias("n"))
     upto = Window.partitionBy("pos").orderBy("slice")
     placed = sizes.select(
@@ -186,7 +172,23 @@ def _rank_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> Da
         F.sum("n").over(upto).alias("last"),
         F.sum("n").over(Window.partitionBy("pos")).alias("n_valid"),
     )
-    placed = cut_lineage(placed)  # columns x slices rows, used three times below
+    return long, cut_lineage(placed)  # columns x slices rows, used several times
+
+
+def average_ranks(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Mean 1-based rank of each distinct value per column: ``(pos, value, rank)``."""
+    long, placed = _long_slices(df, columns, 0)
+    counts = long.groupBy("pos", "slice", "value").agg(F.count("*").alias("k"))
+    inside = Window.partitionBy("pos", "slice").orderBy("value")
+    spans = counts.withColumn("upto", F.sum("k").over(inside)).join(
+        placed.select("pos", "slice", "first"), ["pos", "slice"]
+    )
+    rank = F.col("first") + F.col("upto") - (F.col("k") - 1) / 2
+    return spans.select("pos", "value", rank.alias("rank"))
+
+
+def _rank_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> DataFrame:
+    long, placed = _long_slices(df, columns, len(probs))
     wanted = F.array(*[F.lit(float(p)) for p in probs])
     ranks = F.array_distinct(
         F.flatten(

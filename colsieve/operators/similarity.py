@@ -4,17 +4,16 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from colsieve.functions.hashing import projections
 from colsieve.functions.normal import normal_scores
-from colsieve.operators.profile import moments
 from colsieve.operators.gram import (
-    STATE_BYTES, STEP_CELLS, accumulate, as_partials, matrix, panels, spread,
+    STATE_BYTES, STEP_CELLS, accumulate, as_partials, cross_products, matrix, panels, spread,
 )
+from colsieve.operators.profile import average_ranks, moments
+from colsieve.session import cut_lineage
 
 # Bytes of CDF tables that may travel with a kernel.
 TABLE_BYTES = 256 << 20
@@ -22,7 +21,7 @@ TABLE_BYTES = 256 << 20
 
 def collect_cdfs(tables: DataFrame, columns: list[str]) -> np.ndarray:
     """CDF tables in column order, matched by name; their size follows the columns only."""
-    found = {r["col"]: r["cdf"] for r in tables.select("col", "cdf").toLocalIterator()}
+    found = {r["col"]: r["cdf"] for r in tables.select("col", "cdf").collect()}
     knots = np.array([found[c] if found[c] else [0.0, 0.0] for c in columns], dtype=float)
     if knots.nbytes > TABLE_BYTES:
         raise ValueError(f"{knots.nbytes} bytes of CDF tables; use fewer points")
@@ -64,10 +63,10 @@ def correlation_pairs(total: DataFrame) -> DataFrame:
     """Summed cross products of ``[1, z]`` as correlations ``(i, j, s)``, without the driver."""
     pairs = as_pairs(total.select("i", "vec"))
     sums = total.filter("i = 0").select(F.posexplode("vec").alias("k", "sum"))
-    n = total.filter("i = 0").select(F.col("vec")[0].alias("n"))
+    n = total.filter("i = 0").select(F.col("vec")[0]).scalar()
     squares = pairs.filter("i = j").select(F.col("i").alias("k"), F.col("s").alias("sq"))
     scales = (
-        sums.join(squares, "k").crossJoin(F.broadcast(n))  # n is one row
+        sums.join(squares, "k").withColumn("n", n)
         .select(
             "k", "n", (F.col("sum") / F.col("n")).alias("mean"),
             F.sqrt(
@@ -178,11 +177,23 @@ def pearson_pairwise(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def rank_correlation(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Spearman's rho over the complete rows: ``(i, j, s)``."""
-    whole = df.select(*columns).na.drop()
-    vectors = VectorAssembler(inputCols=columns, outputCol="v").transform(whole).select("v")
-    corr = Correlation.corr(vectors, "v", "spearman").first()[0].toArray()
-    return pairs_of(df.sparkSession, corr)
+    """Spearman's rho over the complete rows, ties at their mean rank: long ``(i, j, s)``.
+
+    Values meet their ranks by joins on the value; equal values share one rank row, so a
+    column with few distinct values joins by broadcast and needs no shuffle.
+    """
+    whole = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in columns]).na.drop()
+    ranks = cut_lineage(average_ranks(whole, columns))
+    n = whole.count()
+    ranked = whole
+    for i, c in enumerate(columns):
+        own = ranks.filter(F.col("pos") == i).select(F.col("value").alias(c), F.col("rank").alias(f"_r{i}"))
+        ranked = ranked.join(own, c).drop(c)
+    p = len(columns)
+    total = cross_products(
+        ranked, [f"_r{i}" for i in range(p)], np.full(p, (n + 1) / 2), np.full(p, max(n, 1) / 12**0.5)
+    )
+    return correlation_pairs(total)
 
 
 def _sines(z: np.ndarray, weights: np.ndarray) -> np.ndarray:
@@ -234,7 +245,7 @@ def sine_dependence(
         centre = np.zeros((blocks, p, features))
         width = np.ones((blocks, p, features))
         total_rows = 0.0
-        for r in accumulate(source, first).toLocalIterator():  # blocks x columns x features
+        for r in accumulate(source, first).collect():  # blocks x columns x features
             v = np.array(r["vec"])
             total_rows = v[0]
             mean = v[1 : 1 + features] / total_rows

@@ -296,11 +296,12 @@ def rdc_like(spark, folder):
 
 
 @query("""
-SELECT p_brand AS k, quantile_disc(p_retailprice, 0.5) AS mid FROM part GROUP BY 1
+SELECT p_partkey // 8 AS k, quantile_disc(p_retailprice * (p_partkey % 3), 0.5) AS mid FROM part GROUP BY 1
 """)
 def lower_median(spark, folder):
     blocks = table(spark, folder, "part").select(
-        F.col("p_brand").alias("i"), F.lit("x").alias("j"), F.col("p_retailprice").alias("s")
+        F.expr("p_partkey div 8").alias("i"), F.lit(-1).alias("j"),
+        (F.col("p_retailprice") * (F.col("p_partkey") % 3)).alias("s"),
     )
     return S.lower_median(blocks).select(F.col("i").alias("k"), F.col("s").alias("mid"))
 

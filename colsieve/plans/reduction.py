@@ -133,18 +133,11 @@ class Reduction:
         )
 
         def make():
-            # Scores relate to the largest variance among the columns that passed.
-            passed = self.profile.filter("reason = 'keep'")
-            top = passed.agg(F.max("variance").alias("top"))  # one row
             nodes = self.position.select(F.col("pos").alias("i"))
             labels = graph.components(nodes, graph.threshold_edges(self.pairs, f.spearman_threshold))
-            scored = (
-                self.position.join(self.profile.drop("pos"), "col")
-                .join(labels, F.col("pos") == F.col("i")).crossJoin(F.broadcast(top))
-                .select("component", "pos", "col", graph.quality_score(
-                    F.col("missing_ratio"), F.col("variance"), F.col("top")).alias("quality"))
-            )
-            elected = graph.elect(scored, "quality")
+            # Scores relate to the largest variance among the columns that passed.
+            passed = self.position.join(self.profile.drop("pos"), "col")
+            elected = graph.elect_by_quality(passed, labels)
             heads = self.position.select(
                 F.col("pos").alias("representative"), F.col("col").alias("survivor")
             )

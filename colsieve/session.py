@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,6 +41,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the checkpoint folder; survives the loss of executors."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` to the checkpoint folder and read it back.
+
+    The table survives the loss of executors, and its size on disk lets Spark decide
+    whether later joins can broadcast it.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -60,9 +60,10 @@ def read_xml(spark: SparkSession, path: str | list[str], recursive: bool = False
 def parse_xml(df: DataFrame, text: str) -> DataFrame:
     """The same records from a column of XML strings."""
     options = {"rowTag": ROW_TAG, "ignoreNamespace": "true", "columnNameOfCorruptRecord": CORRUPT}
-    parsed = df.withColumn("_r", F.from_xml(F.col(text), _ddl(RECORD_SCHEMA), options))
-    wide = parsed.select(*df.columns, *[F.col("_r")[f.name].alias(f.name) for f in RECORD_SCHEMA])
-    return with_properties(wide).drop(text)
+    # inline keeps later filters above the parser, so each text is parsed once.
+    record = F.array(F.from_xml(F.col(text), _ddl(RECORD_SCHEMA), options))
+    others = [c for c in df.columns if c != text]
+    return with_properties(df.select(*others, F.inline(record)))
 
 
 def _ddl(kind: T.DataType) -> str:
@@ -110,7 +111,9 @@ def with_properties(raw: DataFrame) -> DataFrame:
             F.element_at(F.filter("_all", lambda e: e["key"] == k), -1)["value"].alias("value"),
         ),
     )
-    return wide.withColumn("props", last).drop("_all", "PC-Compound_id", "PC-Compound_props")
+    hidden = ("_all", "PC-Compound_id", "PC-Compound_props")
+    kept = [F.col(c) for c in wide.columns if c not in hidden]
+    return wide.select(F.inline(F.array(F.struct(*kept, last.alias("props")))))
 
 
 def _first_value(props: Column, test) -> Column:
