@@ -26,24 +26,21 @@ def components(nodes: DataFrame, edges: DataFrame, node: str = "i") -> DataFrame
             F.greatest("i", "j").alias("a"), F.least("i", "j").alias("b")
         ).filter("a <> b").distinct()
     )
-    seen = _fingerprint(current)
-    while seen[0]:
+    while not _all_stars(current):
         current = cut_lineage(_small_star(_large_star(current)))
-        now = _fingerprint(current)
-        if now == seen:
-            break
-        seen = now
     roots = current.groupBy("a").agg(F.min("b").alias("component"))
     return nodes.select(node).join(roots.withColumnRenamed("a", node), node, "left").select(
         node, F.coalesce("component", node).alias("component")
     )
 
 
-def _fingerprint(edges: DataFrame) -> tuple:
-    row = edges.agg(
-        F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
-    ).first()
-    return tuple(row)
+def _all_stars(edges: DataFrame) -> bool:
+    """Whether every node has at most one smaller neighbour and roots have none."""
+    ends = edges.select(F.col("a").alias("n"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        edges.select(F.col("b").alias("n"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+    )
+    degree = ends.groupBy("n").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return degree.filter("up > 1 OR (up = 1 AND down = 1)").isEmpty()
 
 
 def _large_star(edges: DataFrame) -> DataFrame:

@@ -104,9 +104,10 @@ def quantiles(
 ) -> DataFrame:
     """Exact linearly interpolated quantiles as ``(col, q array<double>)``.
 
-    ``memory`` sorts each column as one array; it is chosen only where rows x columns is small. ``ranks`` finds the same order statistics by shuffling
-    slices of each column, at any number of rows. ``sketch`` trades exactness (rank error
-    1e-4) for a single scan and is never chosen automatically.
+    ``memory`` sorts each column as one array; it is chosen only where rows x columns is
+    small. ``ranks`` finds the same order statistics by shuffling slices of each column, at
+    any number of rows. ``sketch`` trades exactness (rank error 1e-4) for a single scan and
+    is never chosen automatically.
     """
     strategy, width = _choose(df, strategy, n_rows)
     if strategy == "memory":
