@@ -70,7 +70,7 @@ def _sorted_measures(
     wanted = F.array(*[F.lit(float(p)) for p in probs])
 
     def interpolate(p):
-        place = p * (F.size("v") - 1)
+        place = p * F.greatest(F.size("v") - 1, F.lit(0))
         low = F.try_element_at("v", F.floor(place).cast("int") + 1)
         high = F.try_element_at("v", F.ceil(place).cast("int") + 1)
         share = place - F.floor(place)

@@ -47,7 +47,8 @@ def test_profile_measures_agree_between_strategies(awkward):
     assert set(one) == set(two) == set(awkward.columns)
     for c in one:
         for k in one[c].asDict():
-            assert one[c][k] == pytest.approx(two[c][k], rel=1e-9), (c, k)
+            if k != "col":
+                assert one[c][k] == pytest.approx(two[c][k], rel=1e-9), (c, k)
 
 
 def test_nan_and_infinity_are_missing(awkward):
