@@ -25,6 +25,11 @@ class Preprocessing:
     primary_id_col: str = "CID"
     smiles_col: str = "SMILES::Absolute"
     inchi_col: str = "InChI::Standard"
+    std_core: bool = True
+    use_normalizer: bool = False
+    use_reionizer: bool = False
+    use_metal_disconnector: bool = False
+    keep_largest_fragment: bool = False
 
 
 @dataclass(frozen=True)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import replace
+from functools import partial
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,10 +13,11 @@ from colsieve import sinks
 from colsieve.config import Config
 from colsieve.operators.featurize import (
     SMILES_FEATURES, apply_guarded, choose, describe, toolkit_available, toolkit_descriptors,
-    toolkit_names,
+    toolkit_names, with_features,
 )
 from colsieve.operators.properties import filter_by_range, matching_value
 from colsieve.operators.quality import outcome_metrics
+from colsieve.operators.structures import rdkit_toolkit, with_structures
 from colsieve.functions.text import PROPERTY_ALIASES
 from colsieve.plans.reduction import Reduction
 from colsieve.sources.records import as_rows, read_xml, rejected
@@ -49,8 +51,16 @@ def descriptors(records: DataFrame, config: Config, schema: str | None = None) -
     p, d = config.preprocessing, config.descriptor
     registry = choose(SMILES_FEATURES, list(d.descriptor_include), list(d.descriptor_exclude))
     inchi = p.inchi_col if p.inchi_col in records.columns else None
-    table = describe(records, p.smiles_col, inchi, p.primary_id_col, registry)
     if toolkit_available():
+        options = {"core": p.std_core, "normalizer": p.use_normalizer, "reionizer": p.use_reionizer,
+                   "metals": p.use_metal_disconnector, "largest_fragment": p.keep_largest_fragment}
+        base = records.select(
+            F.col(f"`{p.primary_id_col}`").cast("string").alias("CID"),
+            F.col(f"`{p.smiles_col}`").alias("isomeric_smiles"),
+            (F.col(f"`{inchi}`") if inchi else F.lit(None).cast("string")).alias("_inchi"),
+        )
+        parsed = with_structures(base, "isomeric_smiles", "_inchi", partial(rdkit_toolkit, **options))
+        table = with_features(parsed.drop("_inchi"), "standardized_smiles", registry)
         taken = {c.lower() for c in table.columns}
         names = [n for n in toolkit_names() if n.lower() not in taken]
         table = apply_guarded(
@@ -61,6 +71,8 @@ def descriptors(records: DataFrame, config: Config, schema: str | None = None) -
             "standardization_status",
             F.when(failed, F.col("descriptor_status")).otherwise(F.col("standardization_status")),
         ).drop("descriptor_status")
+    else:
+        table = describe(records, p.smiles_col, inchi, p.primary_id_col, registry)
     master = load_master_schema(schema) if schema else master_schema(
         [c for c in table.columns if c not in METADATA]
     )
