@@ -17,32 +17,37 @@ def hash_key(keys: list[str], seed: int) -> Column:
     return F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys], F.lit(str(seed))))
 
 
-def with_hash_rank(
-    df: DataFrame, keys: list[str], seed: int, rank: str = "hash_rank", total: str | None = None
-) -> DataFrame:
-    """Global 1-based rank of each row in the order of md5(keys, seed).
+def hash_cuts(df: DataFrame, keys: list[str], seed: int, ranks) -> list[str]:
+    """Hashes at given 1-based ranks of md5(keys, seed) over all rows.
 
-    Rows are ranked inside 4096 uniform hash buckets and shifted by the sizes of the
-    buckets before; no task ever orders the whole table. ``keys`` should identify a row.
+    ``ranks(n)`` lists the wanted ranks for n rows; rank 0 gives '' (below every hash). Only
+    the keys are read: once to count 4096 uniform hash buckets, once more to order the few
+    buckets that hold a wanted rank. Rows can then be assigned by comparing hashes, without
+    moving them. ``keys`` should identify a row; copies of a key stay together.
     """
-    bucketed = df.withColumn("_h", hash_key(keys, seed)).withColumn(
-        "_b", F.substring("_h", 1, PREFIX)
+    hashed = df.select(hash_key(keys, seed).alias("_h")).withColumn("_b", F.substring("_h", 1, PREFIX))
+    sizes = sorted((r["_b"], r["n"]) for r in hashed.groupBy("_b").agg(F.count("*").alias("n")).collect())
+    starts, n = {}, 0
+    for bucket, size in sizes:
+        starts[bucket] = n
+        n += size
+    wanted = {}
+    for rank in ranks(n):
+        holder = max((b for b, start in starts.items() if start < rank), default=None)
+        wanted[rank] = (holder, rank - starts[holder]) if holder is not None else None
+    places = sorted({w for w in wanted.values() if w})
+    if not places:
+        return ["" for _ in ranks(n)]
+    within = Window.partitionBy("_b").orderBy("_h")
+    ordered = (
+        hashed.filter(F.col("_b").isin(sorted({b for b, _ in places})))
+        .withColumn("_r", F.row_number().over(within))
     )
-    order = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = bucketed.groupBy("_b").agg(F.count("*").alias("_n"))
-    # At most 4096 rows whatever the size of df, so one window task and a broadcast are safe.
-    offsets = sizes.select(
-        "_b",
-        F.coalesce(F.sum("_n").over(order), F.lit(0)).alias("_before"),
-        F.sum("_n").over(Window.partitionBy()).alias("_all"),
-    )
-    within = Window.partitionBy("_b").orderBy("_h", *keys)
-    ranked = bucketed.join(F.broadcast(offsets), "_b").withColumn(
-        rank, F.col("_before") + F.row_number().over(within)
-    )
-    if total:
-        ranked = ranked.withColumn(total, F.col("_all"))
-    return ranked.drop("_h", "_b", "_before", "_all")
+    test = F.lit(False)
+    for bucket, place in places:
+        test = test | ((F.col("_b") == bucket) & (F.col("_r") == place))
+    found = {(r["_b"], r["_r"]): r["_h"] for r in ordered.filter(test).collect()}  # one per wanted rank
+    return [found[wanted[rank]] if wanted[rank] else "" for rank in ranks(n)]
 
 
 def rng(base: int, track: str, index: int) -> np.random.Generator:

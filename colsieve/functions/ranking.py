@@ -2,24 +2,45 @@
 
 from __future__ import annotations
 
+import math
+
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from colsieve.functions.joins import join_null_safe
 
 
+def with_slices(df: DataFrame, columns: list[str], names: list[str], count: int) -> DataFrame:
+    """Add, per numeric column, the number of the value range it falls in.
+
+    Ranges follow the approximate quantiles, so they hold about equally many rows however
+    the values cluster; equal values always share a range.
+    """
+    grid = [i / count for i in range(1, count)]
+    row = df.agg(
+        *[
+            F.percentile_approx(F.col(f"`{c}`").cast("double"), grid, max(10_000, 4 * count)).alias(c)
+            for c in columns
+        ]
+    ).first()  # one row of count - 1 split points per column
+    splits = [[-math.inf, *sorted(set(row[c] or [0.0])), math.inf] for c in columns]
+    sliced = Bucketizer(
+        splitsArray=splits, inputCols=columns, outputCols=names, handleInvalid="keep"
+    ).transform(df)
+    return sliced.withColumns({n: F.col(n).cast("int") for n in names})
+
+
 def with_group_rank(
     df: DataFrame, groups: list[str], order: str, rank: str = "group_rank", slices: int = 256
 ) -> DataFrame:
     """``row_number() over (partition by groups order by order)`` for a numeric ``order``.
 
-    Each group is cut into equal-width slices of ``order``; rows are numbered inside a slice
-    and shifted by the sizes of the slices before, so a group holding a third of all rows is
-    still spread over up to ``slices`` tasks.
+    Each group is cut into slices of ``order``; rows are numbered inside a slice and shifted
+    by the sizes of the slices before, so a group holding a third of all rows is still spread
+    over up to ``slices`` tasks.
     """
-    low, high = df.agg(F.min(order)).scalar(), df.agg(F.max(order)).scalar()
-    width = (high - low + 1) / F.lit(float(slices))
-    sliced = df.withColumn("_slice", F.floor((F.col(order) - low) / width).cast("int"))
+    sliced = with_slices(df, [order], ["_slice"], slices)
     sizes = sliced.groupBy(*groups, "_slice").agg(F.count("*").alias("_n"))
     before = Window.partitionBy(*groups).orderBy("_slice").rowsBetween(
         Window.unboundedPreceding, -1

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import math
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from colsieve.functions.ranking import with_slices
 from colsieve.session import cut_lineage
 
 # Smallest range used as a divisor, and the CDF table resolution.
@@ -133,34 +133,19 @@ def measures(
     return moments(df, columns).join(quantiles(df, columns, probs, strategy, n_rows), "col")
 
 
-def _slices(df: DataFrame, columns: list[str], n_probs: int) -> tuple[DataFrame, list[str]]:
-    """Add, per column, the slice its value falls in; slices hold about equally many values.
-
-    Slices are small enough to sort, and many enough that each holds a few wanted ranks only.
-    """
-    n = df.count()
-    count = max(2, min(MAX_SLICES, max(math.ceil(n / SLICE_ROWS), n_probs // 4)))
-    grid = [i / count for i in range(1, count)]
-    row = df.agg(
-        *[F.percentile_approx(f"`{c}`", grid, max(10_000, 4 * count)).alias(c) for c in columns]
-    ).first()  # one row of at most 64 x 2047 split points
-    splits = [
-        [-math.inf, *sorted({float(v) for v in (row[c] or [0.0])}), math.inf] for c in columns
-    ]
-    names = [f"_s{i}" for i in range(len(columns))]
-    bucketizer = Bucketizer(
-        splitsArray=splits, inputCols=columns, outputCols=names, handleInvalid="keep"
-    )
-    return bucketizer.transform(df), names
+def _slice_count(n_rows: int, n_probs: int) -> int:
+    """Slices small enough to sort, and so many that each holds a few wanted ranks only."""
+    return max(2, min(MAX_SLICES, max(math.ceil(n_rows / SLICE_ROWS), n_probs // 4)))
 
 
 def _long_slices(df: DataFrame, columns: list[str], n_probs: int) -> tuple[DataFrame, DataFrame]:
     """Every value as ``(pos, slice, value)``, and where each slice starts among the ranks."""
     numbers = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in columns])
-    sliced, names = _slices(numbers, columns, n_probs)
+    names = [f"_s{i}" for i in range(len(columns))]
+    sliced = with_slices(numbers, columns, names, _slice_count(df.count(), n_probs))
     cells = [
         F.struct(
-            F.lit(i).alias("pos"), F.col(s).cast("int").alias("slice"), F.col(f"`{c}`").alias("value")
+            F.lit(i).alias("pos"), F.col(s).alias("slice"), F.col(f"`{c}`").alias("value")
         )
         for i, (c, s) in enumerate(zip(columns, names))
     ]

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -53,8 +51,3 @@ def sample_addresses(
 ) -> DataFrame:
     """Only the keys of the sampled rows, to be saved and read back by address."""
     return sample_per_group(df.select(group, *[c for c in keys if c != group]), group, keys, k, seed)
-
-
-def holdout_size(n: int, share: float) -> int:
-    """Rows held out of n, rounded up."""
-    return math.ceil(n * share)

@@ -61,6 +61,7 @@ def pairs_of(spark: SparkSession, corr: np.ndarray) -> DataFrame:
 
 def correlation_pairs(total: DataFrame) -> DataFrame:
     """Summed cross products of ``[1, z]`` as correlations ``(i, j, s)``, without the driver."""
+    total = cut_lineage(total)  # columns x columns numbers, used four times; the scan runs once
     pairs = as_pairs(total.select("i", "vec"))
     sums = total.filter("i = 0").select(F.posexplode("vec").alias("k", "sum"))
     n = total.filter("i = 0").select(F.col("vec")[0]).scalar()

@@ -66,7 +66,7 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY component ORDER BY quality
 
 def _elected(spark, folder):
     labels = _labels(spark, _pairs(spark, folder))
-    profiled = P.profile(features(spark, folder, USABLE), USABLE)
+    profiled = cut_lineage(P.profile(features(spark, folder, USABLE), USABLE))  # one row per column
     return G.elect_by_quality(profiled, labels)
 
 

@@ -33,13 +33,14 @@ def split_assign(spark, folder):
     return with_split(orders, ["o_orderkey"]).select("o_orderkey", "is_test")
 
 
-@query(f"SELECT doc_id, CAST((rk - 1) % 5 AS INTEGER) AS fold FROM ({_ranked_sql('documents', 'doc_id', 7)})")
+@query(f"SELECT doc_id, CAST((rk - 1) * 5 // n AS INTEGER) AS fold FROM ({_ranked_sql('documents', 'doc_id', 7)})")
 def kfold_assign(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id")
     return with_folds(docs, ["doc_id"], 5, 7).select("doc_id", "fold")
 
 
-BLOCK_SQL = "CASE WHEN rk <= ceil(n * 0.2) THEN 5 ELSE (rk - ceil(n * 0.2) - 1) % 5 END"
+BLOCK_SQL = """CASE WHEN rk <= ceil(n * 0.2) THEN 5
+  ELSE (rk - ceil(n * 0.2)::BIGINT - 1) * 5 // (n - ceil(n * 0.2)::BIGINT) END"""
 
 
 @query(f"""
