@@ -74,7 +74,7 @@ def _sorted_measures(
         low = F.try_element_at("v", F.floor(place).cast("int") + 1)
         high = F.try_element_at("v", F.ceil(place).cast("int") + 1)
         share = place - F.floor(place)
-        return low + share * (high - low)
+        return F.least(low + share * (high - low), high)  # never above the next knot
 
     name = F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("pos") + 1)
     names = [n for n, _ in _moment_fields(F.lit(0))] if with_moments else []
@@ -220,7 +220,7 @@ def _rank_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> Da
         place = p * (F.col("n_valid") - 1)
         low, high = F.element_at("at", F.floor(place)), F.element_at("at", F.ceil(place))
         share = place - F.floor(place)
-        return low + share * (high - low)
+        return F.least(low + share * (high - low), high)  # never above the next knot
 
     named = F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("pos") + 1)
     filled = table.select(named.alias("col"), F.transform(wanted, interpolate).alias("q"))
@@ -232,14 +232,8 @@ def cdf_tables(
     df: DataFrame, columns: list[str], points: int = CDF_POINTS, strategy: str = "auto",
     n_rows: int | None = None,
 ) -> DataFrame:
-    """Per column the quantiles at i/(points-1), made non-decreasing: ``(col, cdf)``."""
-    raw = quantiles(df, columns, cdf_probs(points), strategy, n_rows)
-    return raw.select("col", running_max(F.col("q")).alias("cdf"))
-
-
-def running_max(values: Column) -> Column:
-    """Cumulative maximum of a short array."""
-    return F.transform(values, lambda _, i: F.array_max(F.slice(values, F.lit(1), i + 1)))
+    """Per column the quantiles at i/(points-1), which never decrease: ``(col, cdf)``."""
+    return quantiles(df, columns, cdf_probs(points), strategy, n_rows).withColumnRenamed("q", "cdf")
 
 
 def profile(
@@ -256,7 +250,7 @@ def profile(
         [(i, c) for i, c in enumerate(columns)], "pos int, col string"
     )
     joined = measured.join(F.broadcast(position), "col")
-    table = [running_max(F.slice("q", 3, cdf_points)).alias("cdf")] if cdf_points else []
+    table = [F.slice("q", 3, cdf_points).alias("cdf")] if cdf_points else []
     zero = lambda c: F.coalesce(F.col(c), F.lit(0.0))
     base = joined.select(
         "pos", "col", "n_total", "n_valid",
