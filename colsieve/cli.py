@@ -12,6 +12,7 @@ from colsieve import __version__, config as settings, sinks
 from colsieve.models.evaluate import best_per_model, residual_histogram, score_matrix, top_importances
 from colsieve.models.grid import MODELS, SIZES, Experiments
 from colsieve.models.prepare import MODES, load_clusters
+from colsieve.operators.featurize import declared_schema
 from colsieve.operators.lineage import rebuild_from_steps
 from colsieve.plans import ingest
 from colsieve.plans.reduction import Reduction
@@ -70,7 +71,7 @@ def build_parser() -> argparse.ArgumentParser:
     xml.add_argument("--filter-min", type=float)
     xml.add_argument("--filter-max", type=float)
     schema = steps.add_parser("schema")
-    schema.add_argument("--input", required=True, nargs="+")
+    schema.add_argument("--input", nargs="*", default=[], help="sample tables; none: declared names")
     schema.add_argument("--output", required=True)
     calc = steps.add_parser("calc")
     calc.add_argument("--input", required=True)
@@ -178,7 +179,8 @@ def main(argv: list[str] | None = None) -> int:
         sinks.write_records_csv(rows, args.output)
         out = {"output": args.output}
     elif args.command == "preprocess" and args.step == "schema":
-        names = discover_schema([read_table(spark, p) for p in args.input])
+        tables = [read_table(spark, p) for p in args.input]
+        names = discover_schema(tables) if tables else declared_schema()
         save_master_schema(names, args.output)
         out = {"columns": len(names)}
     elif args.command == "preprocess":

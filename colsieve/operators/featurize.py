@@ -168,6 +168,15 @@ def toolkit_names() -> list[str]:
     return [name for name, _ in Descriptors.descList]
 
 
+def declared_schema(registry: dict[str, Feature] = SMILES_FEATURES) -> list[str]:
+    """Master schema from what the registry and the toolkit declare, without reading data."""
+    names = list(registry)
+    if toolkit_available():
+        taken = {n.lower() for n in names}
+        names += [n for n in toolkit_names() if n.lower() not in taken]
+    return [*METADATA, *names]
+
+
 def toolkit_descriptors() -> Callable[[str], dict[str, float]]:
     """Descriptor function backed by the toolkit; pass to ``apply_guarded``."""
     from rdkit import Chem
@@ -190,5 +199,5 @@ def toolkit_descriptors() -> Callable[[str], dict[str, float]]:
 
 __all__ = [
     "METADATA", "TEXT_FEATURES", "SMILES_FEATURES", "choose", "with_features", "parse_source",
-    "describe", "apply_guarded", "toolkit_available", "toolkit_names", "toolkit_descriptors",
+    "describe", "apply_guarded", "toolkit_available", "toolkit_names", "declared_schema", "toolkit_descriptors",
 ]

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from colsieve.functions.joins import join_null_safe
+
 
 def error_summary(df: DataFrame, kind: str, record: str, examples: int = 3) -> DataFrame:
     """Errors per kind with the first few record ids.
@@ -17,7 +19,8 @@ def error_summary(df: DataFrame, kind: str, record: str, examples: int = 3) -> D
         .filter(F.col("_r") <= examples)
         .groupBy(kind).agg(F.array_sort(F.collect_list(record)).alias("examples"))
     )
-    return df.groupBy(kind).agg(F.count("*").alias("n_errors")).join(first, kind)
+    totals = df.groupBy(kind).agg(F.count("*").alias("n_errors"))
+    return join_null_safe(totals, first, [kind])
 
 
 def outcome_metrics(df: DataFrame, groups: list[str], status: Column) -> DataFrame:

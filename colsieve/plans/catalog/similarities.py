@@ -133,11 +133,13 @@ SELECT pair, round(1 / (1 - least(greatest(r * r / (1 + {_RIDGE}), 0), 0.9999)),
   SELECT 'f1,f7' AS pair, r17 AS r FROM c UNION ALL SELECT 'f2,f5', r25 FROM c)
 """)
 def vif_pair(spark, folder):
+    names = ["f1", "f7", "f2", "f5"]
+    total = collect_blocks(cross_products(*_standardised(features(spark, folder, names), names)), 1, 5)[0]
+    corr = correlation_of(total)
     rows = []
-    for a, b in (("f1", "f7"), ("f2", "f5")):
-        total = collect_blocks(cross_products(*_standardised(features(spark, folder, [a, b]), [a, b])), 1, 3)[0]
-        vif = V.vif_from_correlation(correlation_of(total))
-        rows.append((f"{a},{b}", round(float(vif[0]), 3)))
+    for i in (0, 2):
+        vif = V.vif_from_correlation(corr[i : i + 2, i : i + 2])
+        rows.append((f"{names[i]},{names[i + 1]}", round(float(vif[0]), 3)))
     return spark.createDataFrame(rows, "pair string, vif double")
 
 
