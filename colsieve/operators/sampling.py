@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from colsieve.functions.hashing import hash_key
 from colsieve.functions.joins import join_null_safe
+from colsieve.session import cut_lineage
 
 # Spark keeps only the k first rows per group before the shuffle up to this k.
 GROUP_LIMIT = 1000
+# Group counts are broadcast up to this many groups; beyond, Spark joins them as it sees fit.
+BROADCAST_GROUPS = 200_000
 
 
 def sample_per_group(
@@ -29,21 +34,21 @@ def sample_per_group(
 
 
 def _keep_small_hashes(hashed: DataFrame, group: str, k: int) -> DataFrame:
-    """Drop rows that cannot be among the k first, by counting hash prefixes per group.
+    """Drop rows whose hash is far too large to be among the k first of their group.
 
-    The cut is the prefix at which the exact running count reaches k, so no row of the
-    answer is lost however the hashes fall.
+    Hashes are uniform, so k of n rows lie below about k/n; the cut leaves a wide margin. Should
+    a group still keep fewer than k rows, nothing is dropped, so the answer is always exact.
     """
-    prefixed = hashed.withColumn("_p", F.substring("_h", 1, 4))
-    counts = prefixed.groupBy(group, "_p").agg(F.count("*").alias("_n"))
-    running = Window.partitionBy(group).orderBy("_p")
-    cuts = (
-        counts.withColumn("_c", F.sum("_n").over(running))
-        .groupBy(group)
-        .agg(F.min(F.when(F.col("_c") >= k, F.col("_p"))).alias("_cut"))
-    )
-    joined = join_null_safe(prefixed, cuts, [group])
-    return joined.filter(F.col("_cut").isNull() | (F.col("_p") <= F.col("_cut"))).drop("_p", "_cut")
+    counts = cut_lineage(hashed.groupBy(group).agg(F.count("*").alias("_n")))
+    if counts.count() <= BROADCAST_GROUPS:
+        counts = F.broadcast(counts)
+    share = F.conv(F.substring("_h", 1, 12), 16, 10).cast("double") / float(16**12)
+    margin = k + 8 * math.sqrt(k) + 50
+    near = join_null_safe(hashed, counts, [group]).filter(share * F.col("_n") <= margin)
+    held = near.groupBy(group).agg(F.count("*").alias("_held"), F.first("_n").alias("_n"))
+    enough = held.filter(F.col("_held") >= F.least(F.lit(k), F.col("_n")))
+    missed = join_null_safe(counts, enough.select(group), [group], "left_anti")
+    return near.drop("_n") if missed.isEmpty() else hashed
 
 
 def sample_addresses(

@@ -177,3 +177,11 @@ def test_sinks(spark, tmp_path):
         sinks.write_table(spark.range(3), str(tmp_path / kind), kind)
     with pytest.raises(ValueError):
         sinks.write_table(spark.range(3), str(tmp_path / "n"), "orc?")
+
+
+def test_large_samples_move_few_rows(spark):
+    df = spark.range(40000).select((F.col("id") % 2).alias("f"), "id")
+    picked = sampling.sample_per_group(df, "f", ["id"], 1200)
+    assert picked.count() == 2400
+    plan = picked._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
