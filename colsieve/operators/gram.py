@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,15 +30,15 @@ def matrix(batch: pa.RecordBatch, columns: list[str]) -> np.ndarray:
     return np.column_stack(parts).astype(np.float64, copy=False)
 
 
-def as_partials(blocks: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """An array (block, i, j) as one record per (block, i)."""
-    n_blocks, rows, _ = blocks.shape
-    for b in range(n_blocks):
+def as_partials(blocks: Iterable[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """Matrices, one per block, as one record per (block, row)."""
+    for b, block in enumerate(blocks):
+        rows = len(block)
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(np.full(rows, b, dtype=np.int32)),
                 pa.array(np.arange(rows, dtype=np.int32)),
-                pa.array(list(blocks[b]), type=pa.list_(pa.float64())),
+                pa.array(list(block), type=pa.list_(pa.float64())),
             ],
             names=["block", "i", "vec"],
         )

@@ -203,71 +203,78 @@ def _sines(z: np.ndarray, weights: np.ndarray) -> np.ndarray:
 
 
 def sine_dependence(
-    df: DataFrame, columns: list[str], knots: np.ndarray | None, weights: np.ndarray,
+    df: DataFrame, columns: list[str], knots: np.ndarray | None, weights,
     n_rows: int | None = None,
 ) -> DataFrame:
     """Mean correlation of random sine features per weight block: ``(block, i, j, s)``.
 
-    ``weights`` is shaped (block, column, feature). The first scan finds mean and deviation
-    of every feature, the second adds up products of standardised features. With ``knots``
-    the columns pass through normal scores first. Blocks are split over several scans where
-    their matrices would not fit in a task. ``n_rows`` lets a small table use all cores.
+    ``weights`` holds one (column, feature) array per block; blocks may differ in their number
+    of features and share their scans. The first scan finds mean and deviation of every
+    feature, the second adds up products of standardised features. With ``knots`` the columns
+    pass through normal scores first. Blocks are split over several pairs of scans where their
+    matrices would not fit in a task. ``n_rows`` lets a small table use all cores.
     """
     p = len(columns)
+    weights = [np.asarray(w) for w in weights]
     context = df.sparkSession.sparkContext
     source = spread(df.select(*[F.col(f"`{c}`") for c in columns]), n_rows)
     tables = context.broadcast(knots)  # at most TABLE_BYTES
 
-    def scored(batches, features: int):
-        step = max(1, STEP_CELLS // (p * features))
+    def scored(batches, part):
+        step = max(1, STEP_CELLS // (p * max(w.shape[1] for w in part)))
         for batch in batches:
             x = matrix(batch, columns)
             z = np.nan_to_num(x) if tables.value is None else scores_of(x, tables.value)
             for at in range(0, len(z), step):
                 yield z[at : at + step]
 
-    per_scan = max(1, STATE_BYTES // (8 * p * p))
+    widest = max(w.shape[1] for w in weights)
+    per_scan = max(1, STATE_BYTES // (8 * p * max(p, 1 + 2 * widest)))
     out = None
     for start in range(0, len(weights), per_scan):
-        part = weights[start : start + per_scan]
-        blocks, _, features = part.shape
-        shared = context.broadcast(part)
-
-        def first(batches, shared=shared, blocks=blocks, features=features):
-            total = np.zeros((blocks, p, 1 + 2 * features))
-            for z in scored(batches, features):
-                for b in range(blocks):
-                    s = _sines(z, shared.value[b])
-                    total[b, :, 0] += len(z)
-                    total[b, :, 1 : 1 + features] += s.sum(axis=1)
-                    total[b, :, 1 + features :] += (s * s).sum(axis=1)
+        shared = context.broadcast(weights[start : start + per_scan])  # within STATE_BYTES
+
+        def first(batches, shared=shared):
+            part = shared.value
+            total = [np.zeros((p, 1 + 2 * w.shape[1])) for w in part]
+            for z in scored(batches, part):
+                for w, sums in zip(part, total):
+                    s = _sines(z, w)
+                    d = w.shape[1]
+                    sums[:, 0] += len(z)
+                    sums[:, 1 : 1 + d] += s.sum(axis=1)
+                    sums[:, 1 + d :] += np.einsum("ijk,ijk->ik", s, s)
             yield from as_partials(total)
 
-        centre = np.zeros((blocks, p, features))
-        width = np.ones((blocks, p, features))
+        centre = [np.zeros(w.shape) for w in shared.value]
+        width = [np.ones(w.shape) for w in shared.value]
         total_rows = 0.0
-        for r in accumulate(source, first).collect():  # blocks x columns x features
+        for r in accumulate(source, first).collect():  # one row per block and column
             v = np.array(r["vec"])
+            d = (len(v) - 1) // 2
             total_rows = v[0]
-            mean = v[1 : 1 + features] / total_rows
-            variance = np.clip(v[1 + features :] / total_rows - mean**2, 0, None)
+            mean = v[1 : 1 + d] / total_rows
+            variance = np.clip(v[1 + d :] / total_rows - mean**2, 0, None)
             sd = np.sqrt(variance * total_rows / max(total_rows - 1, 1))
-            centre[r["block"], r["i"]] = mean
-            width[r["block"], r["i"]] = np.where(sd < 1e-10, 1.0, sd)
+            centre[r["block"]][r["i"]] = mean
+            width[r["block"]][r["i"]] = np.where(sd < 1e-10, 1.0, sd)
         scale = context.broadcast((centre, width))
 
-        def second(batches, shared=shared, scale=scale, blocks=blocks, features=features):
-            mean, sd = scale.value
-            total = np.zeros((blocks, p, p))
-            for z in scored(batches, features):
-                for b in range(blocks):
-                    s = (_sines(z, shared.value[b]) - mean[b][:, None, :]) / sd[b][:, None, :]
+        def second(batches, shared=shared, scale=scale):
+            part = shared.value
+            means, widths = scale.value
+            total = np.zeros((len(part), p, p))
+            for z in scored(batches, part):
+                for b, w in enumerate(part):
+                    s = _sines(z, w)
+                    s -= means[b][:, None, :]
+                    s /= widths[b][:, None, :]
                     flat = s.reshape(p, -1)
-                    total[b] += flat @ flat.T
+                    total[b] += flat @ flat.T / w.shape[1]
             yield from as_partials(total)
 
-        divisor = max(total_rows, 1.0) * features
-        bounded = F.greatest(F.least(F.col("s") / divisor, F.lit(1.0)), F.lit(-1.0))
+        mean_product = F.col("s") / max(total_rows, 1.0)
+        bounded = F.greatest(F.least(mean_product, F.lit(1.0)), F.lit(-1.0))
         done = accumulate(source, second).select(
             (F.col("block") + start).alias("block"), "i", F.posexplode("vec").alias("j", "s")
         ).select("block", "i", "j", bounded.alias("s"))
@@ -304,6 +311,19 @@ def rdc_like(
     return lower_median(sine_dependence(df, columns, knots, w, n_rows), draws)
 
 
+def both_dependences(
+    df: DataFrame, columns: list[str], knots: np.ndarray, seed: int = 42, repetitions: int = 8,
+    hsic_features: int = 50, rdc_features: int = 20, draws: int = 10, n_rows: int | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """``hsic_like`` and ``rdc_like`` from the same scans."""
+    p = len(columns)
+    h = projections(seed, "hsic", repetitions, p, hsic_features)
+    r = projections(seed, "rdc", repetitions * draws, p, rdc_features)
+    blocks = cut_lineage(sine_dependence(df, columns, knots, [*h, *r], n_rows))
+    later = blocks.filter(F.col("block") >= repetitions).withColumn("block", F.col("block") - repetitions)
+    return lower_median(blocks.filter(F.col("block") < repetitions)), lower_median(later, draws)
+
+
 def fuse(h: DataFrame, r: DataFrame, w_h: float = 0.5, w_r: float = 0.5) -> DataFrame:
     """Weighted mean of two similarities (weights rescaled to sum 1), clamped, diagonal 1."""
     if w_h < 0 or w_r < 0 or w_h + w_r == 0:

@@ -197,23 +197,24 @@ class Reduction:
             [(i, c) for i, c in enumerate(columns)], "pos int, col string"
         )
 
-        def identity():
-            return similarity.pairs_of(self.spark, np.eye(p))
-
-        def hsic():
-            return similarity.hsic_like(
-                self.features, columns, knots, seed, f.hsic_D, f.r, self.n_rows
-            )
-
-        def rdc():
-            return similarity.rdc_like(
+        def similarities():
+            if f.w_hsic > 0 and f.w_rdc > 0:
+                return similarity.both_dependences(
+                    self.features, columns, knots, seed, f.r, f.hsic_D, f.rdc_d, f.rdc_seeds, self.n_rows
+                )
+            # A part without weight needs no scan.
+            nothing = similarity.pairs_of(self.spark, np.eye(p))
+            if f.w_hsic > 0:
+                return similarity.hsic_like(
+                    self.features, columns, knots, seed, f.hsic_D, f.r, self.n_rows
+                ), nothing
+            return nothing, similarity.rdc_like(
                 self.features, columns, knots, seed, f.rdc_d, f.r, f.rdc_seeds, self.n_rows
             )
 
-        fused = self._saved("pass4_similarity", lambda: similarity.fuse(
-            hsic() if f.w_hsic > 0 else identity(), rdc() if f.w_rdc > 0 else identity(),
-            f.w_hsic, f.w_rdc,
-        ))
+        fused = self._saved(
+            "pass4_similarity", lambda: similarity.fuse(*similarities(), f.w_hsic, f.w_rdc)
+        )
 
         def make():
             nodes = position.select(F.col("pos").alias("i"))

@@ -216,3 +216,12 @@ def test_random_tracks_are_stateless():
     assert seeds(1, "spearman", 3) == seeds(1, "spearman", 3)
     with pytest.raises(ValueError):
         rng(1, "other", 0)
+
+
+def test_shared_scans_give_both_dependences(planted):
+    df, _, _ = planted
+    names = ["a", "x", "sum"]
+    knots = similarity.collect_cdfs(profile.cdf_tables(df, names, 100), names)
+    h, r = similarity.both_dependences(df, names, knots, 42, 4, 6, 3, 2)
+    assert as_matrix(h, 3) == pytest.approx(as_matrix(similarity.hsic_like(df, names, knots, 42, 6, 4), 3), abs=1e-12)
+    assert as_matrix(r, 3) == pytest.approx(as_matrix(similarity.rdc_like(df, names, knots, 42, 3, 4, 2), 3), abs=1e-12)
