@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from colsieve.llm import near_dup
+from colsieve.llm import line_rules, near_dup
 from colsieve.llm.store import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,3 +21,53 @@ def query(function):
 @query
 def op4_minhash_near_dup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, folder, "documents"))
+
+
+@query
+def op7_line_frequency(spark: SparkSession, folder: str) -> DataFrame:
+    return line_rules.quality_rules(table(spark, folder, "documents"))
+
+
+ORACLES["op4_minhash_near_dup"] = r"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS g FROM d),
+u AS (SELECT doc_id, unnest(g) AS h FROM s),
+shared AS (SELECT a.doc_id AS i, b.doc_id AS j, count(*) AS c FROM u a JOIN u b USING (h)
+    WHERE a.doc_id < b.doc_id GROUP BY ALL),
+e AS (SELECT i, j FROM shared JOIN s x ON x.doc_id = i JOIN s y ON y.doc_id = j
+    WHERE 100 * c >= 75 * (len(x.g) + len(y.g) - c)),
+ends AS (SELECT i, j FROM e UNION ALL SELECT j, i FROM e),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT a, j FROM reach JOIN ends ON b = i)
+SELECT s.doc_id, len(g) AS n_shingles, c AS component_id, s.doc_id = c AS kept
+FROM s JOIN (SELECT a, min(b) AS c FROM reach GROUP BY a) ON a = s.doc_id
+"""
+
+ORACLES["op7_line_frequency"] = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(source, chr(0)) AS host, coalesce(text, '') AS text
+    FROM documents),
+w AS (SELECT r, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM d),
+g AS (SELECT r, unnest(range(1, len(ws) - 3)) AS i, ws FROM w),
+gram AS (SELECT r, i, count(*) OVER (PARTITION BY r, array_to_string(ws[i:i + 4], ' ')) AS c FROM g),
+rep AS (SELECT r, count(DISTINCT i + k) AS n FROM gram, range(5) t(k) WHERE c > 1 GROUP BY r),
+split AS (SELECT r, host, string_split(text, chr(10)) AS ls FROM d),
+line AS (SELECT r, host, unnest(ls) AS line, unnest(range(1, len(ls) + 1)) AS p FROM split),
+full_line AS (SELECT r, host, line, p, regexp_extract_all(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS lw FROM line
+    WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+dup AS (SELECT r, count(*) AS n FROM (SELECT r, row_number() OVER (PARTITION BY r, line ORDER BY p) AS k
+    FROM full_line) WHERE k > 1 GROUP BY r),
+norm AS (SELECT r, host, array_to_string(lw, ' ') AS k, sum(len(lw)) AS words FROM full_line GROUP BY ALL),
+common AS (SELECT host, k FROM norm GROUP BY ALL HAVING count(*) > {line_rules.MAX_DOCUMENTS}),
+lost AS (SELECT r, sum(words) AS n FROM norm JOIN common USING (host, k) GROUP BY r),
+m AS (SELECT doc_id, len(ws) AS n_words, coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) AS word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(dup.n, 0) AS n_dup_lines,
+    coalesce(rep.n, 0) AS n_repeat_words, coalesce(lost.n, 0) AS n_removed_words
+    FROM d JOIN w USING (r) LEFT JOIN rep USING (r) LEFT JOIN dup USING (r) LEFT JOIN lost USING (r))
+SELECT *, n_words < {line_rules.MIN_WORDS} OR 100 * n_repeat_words > {line_rules.MAX_REPEATED} * n_words AS base_failed,
+    NOT (n_words < {line_rules.MIN_WORDS} OR 100 * n_repeat_words > {line_rules.MAX_REPEATED} * n_words)
+    AND n_removed_words <= {line_rules.MAX_LOST} * n_words AS kept
+FROM m
+"""

@@ -60,6 +60,10 @@ def segment_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np
     return mix((total[ends] - total[starts]) * backward[starts])
 
 
+def byte_values(data: np.ndarray) -> np.ndarray:
+    return _VALUES[data]
+
+
 @dataclass
 class Slice:
     """Documents ``first`` up to ``first + len(doc_bytes) - 1`` of a batch."""
