@@ -98,12 +98,13 @@ def raw_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[bounds[0]: bounds[-1]], bounds - bounds[0]
 
 
-def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[Slice]:
+def slices(column: pa.Array, limit: int = SLICE_BYTES, most: int = 8192) -> Iterator[Slice]:
+    """Slices of at most ``limit`` bytes, or one longer document, and ``most`` documents."""
     data, bounds = raw_bytes(column)
     first, count = 0, len(bounds) - 1
     while first < count:
         last = int(np.searchsorted(bounds, bounds[first] + limit, side="right")) - 1
-        last = min(max(last, first + 1), count)
+        last = min(max(last, first + 1), first + most, count)
         yield scan(data[bounds[first]: bounds[last]], bounds[first: last + 1] - bounds[first], first)
         first = last
 
