@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from colsieve.llm import textscan
+from colsieve.llm import sieve, textscan
 from colsieve.llm.store import cut_lineage, unused
 from colsieve.operators.graph import components
 
@@ -230,9 +230,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .unionByName(members.filter("rep <> least").select(F.col("least").alias("i"), F.col("rep").alias("j")))
         .distinct()
     )
-    wanted = stars.select(F.explode(F.array("i", "j")).alias("doc_id")).distinct()
+    wanted = cut_lineage(stars.select(F.explode(F.array("i", "j")).alias("doc_id")).distinct())
     sets = cut_lineage(
-        docs.join(wanted, "doc_id", "left_semi").mapInArrow(_sets, "rep long, shingles array<long>")
+        sieve.passing(docs, "doc_id", wanted).join(wanted, "doc_id", "left_semi").mapInArrow(_sets, "rep long, shingles array<long>")
         .join(classes.select("rep", "n_shingles"), "rep")
         .filter(F.size("shingles") == F.col("n_shingles")).drop("n_shingles").dropDuplicates(["rep"])
     )
