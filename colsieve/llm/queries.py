@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from colsieve.llm import language, line_rules, mixing, near_dup, passages
+from colsieve.llm import language, line_rules, mixing, near_dup, passages, toxicity
 from colsieve.llm.store import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,6 +43,11 @@ def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
     return passages.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+@query
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 ORACLES["op4_minhash_near_dup"] = r"""
 WITH RECURSIVE d AS (
     SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',

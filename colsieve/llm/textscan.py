@@ -64,6 +64,10 @@ def byte_values(data: np.ndarray) -> np.ndarray:
     return _VALUES[data]
 
 
+def lower_values(data: np.ndarray) -> np.ndarray:
+    return _VALUES[_LOWER[data]]
+
+
 @dataclass
 class Slice:
     """Documents ``first`` up to ``first + len(doc_bytes) - 1`` of a batch."""
