@@ -122,7 +122,7 @@ def slots(plan: DataFrame, block: int = BLOCK, shard_slots: int = SHARD_SLOTS) -
     total = plan.agg(F.coalesce(F.sum("n_slots"), F.lit(0))).first()[0]
     ordinals = plan.withColumn("chunk", F.explode(
         F.sequence(F.lit(0).cast("long"), F.floor((F.col("n_slots") - 1) / shard_slots)))
-    ).filter("n_slots > 0").repartition("place", "chunk").withColumn("ordinal", F.explode(F.sequence(
+    ).filter("n_slots > 0").repartition(int(total) // (32 * shard_slots) + 1, "place", "chunk").withColumn("ordinal", F.explode(F.sequence(
         F.col("chunk") * shard_slots, F.least((F.col("chunk") + 1) * shard_slots, F.col("n_slots")) - 1)))
     offsets = plan.select("place", (F.sum("n_slots").over(Window.orderBy("place")) - F.col("n_slots")).alias("offset"))
     index = F.floor(F.col("ordinal") / F.col("n_blocks"))
