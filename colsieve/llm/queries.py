@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from colsieve.llm import language, line_rules, mixing, near_dup, passages, toxicity
+from colsieve.llm import decontaminate, language, line_rules, mixing, near_dup, passages, toxicity
 from colsieve.llm.store import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,6 +48,11 @@ def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+@query
+def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.leaked(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 ORACLES["op4_minhash_near_dup"] = r"""
 WITH RECURSIVE d AS (
     SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
@@ -91,3 +96,29 @@ SELECT *, n_words < {line_rules.MIN_WORDS} OR 100 * n_repeat_words > {line_rules
     AND n_removed_words <= {line_rules.MAX_LOST} * n_words AS kept
 FROM m
 """
+
+ORACLES["op5_decontamination"] = rf"""
+WITH item AS (
+    SELECT DISTINCT item_id, text, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM benchmark),
+cut AS (
+    SELECT item_id, w, CASE WHEN contains(text, '?') OR contains(text, '？') THEN
+        len(regexp_extract_all(regexp_extract(text, '[^?？]*$'), '[^\x20\x09-\x0D]+')) ELSE 0 END AS after
+    FROM item WHERE len(w) >= 5),
+gram AS (
+    SELECT item_id, array_to_string(w[i:i + 4], ' ') AS g,
+        i + 3 >= len(w) - CASE WHEN after > 0 THEN after ELSE greatest(1, len(w) // 4) END AS answer
+    FROM cut, unnest(range(1, len(w) - 3)) t(i)),
+part AS (SELECT item_id, g, bool_or(answer) AS answer FROM gram GROUP BY ALL),
+d AS (
+    SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+seen AS (SELECT DISTINCT r, doc_id, array_to_string(w[i:i + 4], ' ') AS g FROM d, unnest(range(1, len(w) - 3)) t(i)),
+hit AS (SELECT r, doc_id, item_id, count(*) FILTER (NOT answer) AS q, count(*) FILTER (answer) AS a
+    FROM seen JOIN part USING (g) GROUP BY ALL),
+size AS (SELECT item_id, count(*) FILTER (NOT answer) AS nq, count(*) FILTER (answer) AS na FROM part GROUP BY ALL)
+SELECT doc_id, item_id, CASE WHEN nq > 0 THEN q / nq ELSE 1.0 END AS question_overlap,
+    CASE WHEN na > 0 THEN a / na ELSE 1.0 END AS answer_overlap
+FROM hit JOIN size USING (item_id)
+WHERE q + a >= {decontaminate.SHARE} * (nq + na) AND q >= {decontaminate.LEAST} * nq AND a >= {decontaminate.LEAST} * na
+"""

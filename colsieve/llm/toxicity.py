@@ -18,7 +18,7 @@ from colsieve.llm.store import remainder_is
 BITS = 20
 BUCKETS = 1 << BITS
 PER_CLASS = 5000  # training texts of each label
-ALPHA, BETA, L2 = 0.5, 1.0, 0.0
+ALPHA, BETA, L2 = 1.0, 1.0, 0.0
 L1_PER_ROOT = 0.8  # L1 is this times the root of the texts with label 1, as chance sums grow
 EPOCHS = 6
 THRESHOLD = 0.3
