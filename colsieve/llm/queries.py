@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from colsieve.llm import decontaminate, language, line_rules, mixing, near_dup, passages, toxicity
+from colsieve.llm import decontaminate, language, line_rules, mixing, near_dup, passages, toxicity, warc_zstd
 from colsieve.llm.store import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,6 +53,11 @@ def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.leaked(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+@query
+def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc_zstd.round_trip(table(spark, folder, "pages"))
+
+
 ORACLES["op4_minhash_near_dup"] = r"""
 WITH RECURSIVE d AS (
     SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
@@ -122,3 +127,17 @@ SELECT doc_id, item_id, CASE WHEN nq > 0 THEN q / nq ELSE 1.0 END AS question_ov
 FROM hit JOIN size USING (item_id)
 WHERE q + a >= {decontaminate.SHARE} * (nq + na) AND q >= {decontaminate.LEAST} * nq AND a >= {decontaminate.LEAST} * na
 """
+
+ORACLES["op9_warc"] = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages),
+bits AS (SELECT *, array_to_string(list_transform(range(1, 41), lambda i:
+    right(bin(instr('0123456789abcdef', hex[i]) - 1 + 16), 4)), '') AS b FROM p),
+named AS (SELECT *, array_to_string(list_transform(range(0, 32), lambda i:
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[1 + list_sum(list_transform(range(0, 5), lambda k:
+        CAST(b[i * 5 + k + 1] AS INT) * (16 >> k)))::INT]), '') AS payload_digest FROM bits),
+held AS (SELECT *, max(page_id) OVER (PARTITION BY hex) AS holder FROM named)
+SELECT page_id, payload_bytes, payload_digest,
+    CASE WHEN page_id < holder THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN page_id < holder THEN holder END AS refers_to
+FROM held
+"""
