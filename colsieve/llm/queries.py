@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from colsieve.llm import decontaminate, language, line_rules, mixing, near_dup, passages, toxicity, warc_zstd
-from colsieve.llm.store import table
+from colsieve.llm import decontaminate, language, line_rules, mixing, near_dup, ngram_lm, passages, toxicity, warc_zstd
+from colsieve.llm.store import remainder_is, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -58,6 +59,12 @@ def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc_zstd.round_trip(table(spark, folder, "pages"))
 
 
+@query
+def op1_kneser_ney(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return ngram_lm.score(docs.withColumn("held_out", remainder_is(F.col("doc_id"), 7, 2)))
+
+
 ORACLES["op4_minhash_near_dup"] = r"""
 WITH RECURSIVE d AS (
     SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
