@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colsieve.llm import decontaminate, language, line_rules, mixing, near_dup, ngram_lm, passages, toxicity, warc_zstd
+from colsieve.llm import decontaminate, html_crf, language, line_rules, mixing, near_dup, ngram_lm, passages, toxicity, warc_zstd
 from colsieve.llm.store import remainder_is, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,6 +65,11 @@ def op1_kneser_ney(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_lm.score(docs.withColumn("held_out", remainder_is(F.col("doc_id"), 7, 2)))
 
 
+@query
+def op8_html(spark: SparkSession, folder: str) -> DataFrame:
+    return html_crf.extract(table(spark, folder, "pages"))
+
+
 ORACLES["op4_minhash_near_dup"] = r"""
 WITH RECURSIVE d AS (
     SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
