@@ -203,28 +203,27 @@ def _write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def begin() -> Writer:
         return Writer([r[2] for r in waiting if r[2] and r[3] is None])
 
-    def add(row: tuple) -> None:
-        writer.add(page_record(row[0], row[1], row[2], digest(row[2]), row[3]))
-
-    held = 0
-    for row in rows():
-        if writer is None:  # the first pages of a task are its archives' training sample
-            waiting.append(row)
-            held += len(row[2])
-            if len(waiting) < TRAINING_PAGES and held < TRAINING_BYTES:
-                continue
-            writer, fresh = begin(), waiting
-        else:
-            fresh = [row]
-        for one in fresh:
-            add(one)
+    def add(fresh: list[tuple]) -> Iterator[pa.RecordBatch]:
+        nonlocal number, writer
+        for row in fresh:
+            writer.add(page_record(row[0], row[1], row[2], digest(row[2]), row[3]))
             if writer.full:
                 yield closed()
                 number, writer = number + 1, begin()
+
+    held = 0
+    for row in rows():
+        if writer is not None:
+            yield from add([row])
+            continue
+        waiting.append(row)  # the first pages of a task are its archives' training sample
+        held += len(row[2])
+        if len(waiting) == TRAINING_PAGES or held >= TRAINING_BYTES:
+            writer = begin()
+            yield from add(waiting)
     if writer is None and waiting:
         writer = begin()
-        for one in waiting:
-            add(one)
+        yield from add(waiting)
     if writer is not None and writer.size:
         yield closed()
 
