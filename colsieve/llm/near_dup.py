@@ -232,7 +232,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     wanted = cut_lineage(stars.select(F.explode(F.array("i", "j")).alias("doc_id")).distinct())
     sets = cut_lineage(
-        sieve.passing(docs, "doc_id", wanted).join(wanted, "doc_id", "left_semi").mapInArrow(_sets, "rep long, shingles array<long>")
+        sieve.split(docs, "doc_id", wanted)[1].join(wanted, "doc_id", "left_semi").mapInArrow(_sets, "rep long, shingles array<long>")
         .join(classes.select("rep", "n_shingles"), "rep")
         .filter(F.size("shingles") == F.col("n_shingles")).drop("n_shingles").dropDuplicates(["rep"])
     )
@@ -280,15 +280,15 @@ def keep_one_of_each_group(docs: DataFrame) -> DataFrame:
 
     Rows without doc_id stay. Every column of ``docs`` is kept.
     """
-    kept = cut_lineage(near_duplicates(docs).filter("kept AND doc_id IS NOT NULL").groupBy("doc_id").count())
+    decided = near_duplicates(docs).filter("doc_id IS NOT NULL").groupBy("doc_id").agg(
+        F.bool_or("kept").alias("kept"), F.count("*").alias("n"))
     key, order = unused(docs, "kept_id"), unused(docs, "kept_order")
-    once = kept.filter("count = 1").select(F.col("doc_id").alias(key))
-    twice = kept.filter("count > 1").select(F.col("doc_id").alias(key))
-    single = docs.join(once, F.col("doc_id") == F.col(key), "left_semi")
-    repeated = docs.join(twice, F.col("doc_id") == F.col(key), "left_semi")
-    nameless = docs.filter("doc_id IS NULL")
+    special = cut_lineage(decided.filter("NOT kept OR n > 1").select(F.col("doc_id").alias(key), "kept"))
+    # rows of other ids, nearly all, stay where they are
+    single, open_ = sieve.split(docs, "doc_id", special.select(key))
+    same = F.col("doc_id") == F.col(key)
+    single = single.unionByName(open_.join(special.select(key), same, "left_anti"))
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    first = repeated.withColumn(order, F.struct(*columns)).groupBy("doc_id").agg(F.min(order).alias(order))
-    return single.unionByName(nameless).unionByName(
-        first.select(*[F.col(order).getField(c).alias(c) for c in docs.columns])
-    )
+    first = open_.join(special.filter("kept").select(key), same, "left_semi").withColumn(
+        order, F.struct(*columns)).groupBy("doc_id").agg(F.min(order).alias(order))
+    return single.unionByName(first.select(*[F.col(order).getField(c).alias(c) for c in docs.columns]))

@@ -1,4 +1,4 @@
-"""A bitmap of hashed ids: drops most rows that a later join would drop, before they are shuffled."""
+"""A bitmap of hashed ids: tells most rows that a join would not match before they are shuffled."""
 
 from __future__ import annotations
 
@@ -37,11 +37,12 @@ def bitmap(ids: DataFrame) -> Bitmap:
     return Bitmap(words)
 
 
-def passing(rows: DataFrame, key: str, ids: DataFrame) -> DataFrame:
-    """The rows whose key may be among ``ids``; every row whose key is."""
+def split(rows: DataFrame, key: str, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows whose key surely isn't among ``ids``, and those whose key may be."""
     held = bitmap(ids)
 
     def check(hashed: pa.Array) -> pa.Array:
         return pa.array(held.hits(hashed.to_numpy(zero_copy_only=False)))
 
-    return rows.filter(F.arrow_udf(check, "boolean")(F.xxhash64(F.col(key))))
+    may_be = F.arrow_udf(check, "boolean")(F.xxhash64(F.col(key)))
+    return rows.filter(~may_be), rows.filter(may_be)
