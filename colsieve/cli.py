@@ -21,7 +21,7 @@ from colsieve.sources.tables import ML_METADATA, discover_schema, feature_column
 
 FILTER_FLAGS = {
     "sample_per_file": int, "variance_threshold": float, "max_missing_ratio": float,
-    "min_effective_n": int, "range_mode": str, "trim_lower": float, "trim_upper": float,
+    "min_effective_n": int, "trim_lower": float, "trim_upper": float,
     "spearman_threshold": float, "vif_threshold": float, "nonlinear_threshold": float,
     "quantile_strategy": str,
 }

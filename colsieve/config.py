@@ -9,7 +9,6 @@ from dataclasses import asdict, dataclass, field, fields, is_dataclass, replace
 from pathlib import Path
 
 # Accepted spellings of the range modes.
-RANGE_MODES = {"minmax": "MINMAX", "min_max": "MINMAX", "trimmed": "TRIMMED", "iqr": "IQR"}
 
 
 @dataclass(frozen=True)
@@ -45,11 +44,10 @@ class Filtering:
     variance_threshold: float = 0.002
     max_missing_ratio: float = 0.5
     min_effective_n: int = 100
-    range_mode: str = "TRIMMED"
     trim_lower: float = 0.025
     trim_upper: float = 0.975
     cdf_points: int = 1000
-    quantile_strategy: str = "auto"
+    quantile_strategy: str = "exact"
     spearman_threshold: float = 0.95
     vif_threshold: float = 10.0
     nonlinear_threshold: float = 0.30
@@ -67,10 +65,6 @@ class Filtering:
             if value > 1.0:
                 warnings.warn(f"{name}={value} taken as percent", UserWarning, stacklevel=2)
                 object.__setattr__(self, name, value / 100.0)
-        mode = RANGE_MODES.get(str(self.range_mode).lower())
-        if mode is None:
-            raise ValueError(f"unknown range_mode {self.range_mode!r}")
-        object.__setattr__(self, "range_mode", mode)
         if not 0.0 <= self.trim_lower < self.trim_upper <= 1.0:
             raise ValueError(f"trim bounds {self.trim_lower}, {self.trim_upper} must rise within [0, 1]")
         for name in ("variance_threshold", "max_missing_ratio"):

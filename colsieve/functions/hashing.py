@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 TRACKS = {"statistics": 0, "spearman": 1, "hsic": 2, "rdc": 3}
 SKETCH_MASK = (1 << 61) - 1
 
-PREFIX = 3  # hex digits: 4096 equally filled hash buckets
+DIGITS = 3  # hex digits looked at in one step: 4096 equally filled hash buckets
+BUCKET_ROWS = 1_000_000  # rows that one task may order
 
 
 def hash_key(keys: list[str], seed: int) -> Column:
@@ -21,33 +22,43 @@ def hash_cuts(df: DataFrame, keys: list[str], seed: int, ranks) -> list[str]:
     """Hashes at given 1-based ranks of md5(keys, seed) over all rows.
 
     ``ranks(n)`` lists the wanted ranks for n rows; rank 0 gives '' (below every hash). Only
-    the keys are read: once to count 4096 uniform hash buckets, once more to order the few
-    buckets that hold a wanted rank. Rows can then be assigned by comparing hashes, without
-    moving them. ``keys`` should identify a row; copies of a key stay together.
+    the keys are read: uniform hash buckets are counted, those that hold a wanted rank are split
+    further until they are small, and the rows of these few are put in order. Rows can then be
+    assigned by comparing hashes, without moving them. ``keys`` should identify a row; copies of
+    a key stay together.
     """
-    hashed = df.select(hash_key(keys, seed).alias("_h")).withColumn("_b", F.substring("_h", 1, PREFIX))
-    sizes = sorted((r["_b"], r["n"]) for r in hashed.groupBy("_b").agg(F.count("*").alias("n")).collect())
-    starts, n = {}, 0
-    for bucket, size in sizes:
-        starts[bucket] = n
-        n += size
-    wanted = {}
-    for rank in ranks(n):
-        holder = max((b for b, start in starts.items() if start < rank), default=None)
-        wanted[rank] = (holder, rank - starts[holder]) if holder is not None else None
-    places = sorted({w for w in wanted.values() if w})
-    if not places:
+    hashed = df.select(hash_key(keys, seed).alias("_h"))
+    places, n = {}, None
+    within: list[str] = [""]
+    for width in range(DIGITS, 33, DIGITS):
+        rows = hashed if within == [""] else hashed.filter(F.substring("_h", 1, width - DIGITS).isin(within))
+        sizes = dict(sorted(map(tuple, rows.groupBy(F.substring("_h", 1, width)).count().collect())))
+        if n is None:
+            n = sum(sizes.values())
+            places = {rank: ("", rank) for rank in ranks(n) if rank > 0}
+        for rank, (prefix, left) in places.items():
+            if prefix not in within:
+                continue
+            for bucket, size in sizes.items():
+                if bucket.startswith(prefix):
+                    if left <= size:
+                        places[rank] = (bucket, left)
+                        break
+                    left -= size
+        within = sorted({b for b, _ in places.values() if sizes.get(b, 0) > BUCKET_ROWS})
+        if not within:
+            break
+    wanted = sorted(set(places.values()))
+    if not wanted:
         return ["" for _ in ranks(n)]
-    within = Window.partitionBy("_b").orderBy("_h")
-    ordered = (
-        hashed.filter(F.col("_b").isin(sorted({b for b, _ in places})))
-        .withColumn("_r", F.row_number().over(within))
-    )
-    test = F.lit(False)
-    for bucket, place in places:
+    holder, test = F.lit(None).cast("string"), F.lit(False)
+    for bucket, place in wanted:
+        holder = F.when(F.col("_h").startswith(bucket), F.lit(bucket)).otherwise(holder)
         test = test | ((F.col("_b") == bucket) & (F.col("_r") == place))
+    order = Window.partitionBy("_b").orderBy("_h")
+    ordered = hashed.withColumn("_b", holder).filter("_b IS NOT NULL").withColumn("_r", F.row_number().over(order))
     found = {(r["_b"], r["_r"]): r["_h"] for r in ordered.filter(test).collect()}  # one per wanted rank
-    return [found[wanted[rank]] if wanted[rank] else "" for rank in ranks(n)]
+    return [found[places[rank]] if rank > 0 else "" for rank in ranks(n)]
 
 
 def rng(base: int, track: str, index: int) -> np.random.Generator:

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from colsieve.functions.joins import join_null_safe
 
+SLICE_ROWS = 100_000
+
 
 def with_slices(df: DataFrame, columns: list[str], names: list[str], count: int) -> DataFrame:
     """Add, per numeric column, the number of the value range it falls in.
@@ -17,13 +19,11 @@ def with_slices(df: DataFrame, columns: list[str], names: list[str], count: int)
     Ranges follow the approximate quantiles, so they hold about equally many rows however
     the values cluster; equal values always share a range.
     """
-    grid = [i / count for i in range(1, count)]
-    row = df.agg(
-        *[
-            F.percentile_approx(F.col(f"`{c}`").cast("double"), grid, max(10_000, 4 * count)).alias(c)
-            for c in columns
-        ]
-    ).first()  # one row of count - 1 split points per column
+    grid = ", ".join(f"{i / count!r}D" for i in range(1, count))  # as text: thousands of literals
+    row = df.agg(*[
+        F.expr(f"percentile_approx(cast(`{c}` as double), array({grid}), {max(10_000, 4 * count)})").alias(c)
+        for c in columns
+    ]).first()  # one row of count - 1 split points per column
     splits = [[-math.inf, *sorted(set(row[c] or [0.0])), math.inf] for c in columns]
     sliced = Bucketizer(
         splitsArray=splits, inputCols=columns, outputCols=names, handleInvalid="keep"
@@ -32,14 +32,16 @@ def with_slices(df: DataFrame, columns: list[str], names: list[str], count: int)
 
 
 def with_group_rank(
-    df: DataFrame, groups: list[str], order: str, rank: str = "group_rank", slices: int = 256
+    df: DataFrame, groups: list[str], order: str, rank: str = "group_rank", slices: int | None = None
 ) -> DataFrame:
     """``row_number() over (partition by groups order by order)`` for a numeric ``order``.
 
     Each group is cut into slices of ``order``; rows are numbered inside a slice and shifted
     by the sizes of the slices before, so a group holding a third of all rows is still spread
-    over up to ``slices`` tasks.
+    over many tasks. Their number follows the rows, one per ``SLICE_ROWS``, unless given.
     """
+    if slices is None:
+        slices = max(2, math.ceil(df.count() / SLICE_ROWS))
     sliced = with_slices(df, [order], ["_slice"], slices)
     sizes = sliced.groupBy(*groups, "_slice").agg(F.count("*").alias("_n"))
     before = Window.partitionBy(*groups).orderBy("_slice").rowsBetween(

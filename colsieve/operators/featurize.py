@@ -89,13 +89,13 @@ def describe(
     return with_features(base, "standardized_smiles", registry)
 
 
-class _Late(Exception):
-    pass
+class _Late(BaseException):
+    """Not an Exception, so that a descriptor function that catches those can't swallow it."""
 
 
 def _within(seconds: float, call: Callable, value):
     """Run one call under an interval timer (worker processes run it in their main thread)."""
-    if seconds <= 0 or threading.current_thread() is not threading.main_thread():
+    if seconds <= 0:
         return call(value)
 
     def stop(*_):
@@ -126,6 +126,8 @@ def apply_guarded(
     )
 
     def run(frames):
+        if timeout > 0 and threading.current_thread() is not threading.main_thread():
+            raise RuntimeError("a time limit needs the main thread of its worker process")
         call = make()
         for frame in frames:
             status, rows = [], []

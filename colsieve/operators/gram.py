@@ -15,8 +15,6 @@ from pyspark.sql import functions as F
 STATE_BYTES = 512 << 20
 STEP_CELLS = 4_000_000
 TASKS_PER_CORE = 2
-# Tables up to this many rows may sit in fewer file splits than there are cores.
-SMALL_ROWS = 2_000_000
 
 PARTIAL = "block int, i int, vec array<double>"
 
@@ -44,6 +42,16 @@ def as_partials(blocks: Iterable[np.ndarray]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def map_in_arrow(df: DataFrame, kernel: Callable, schema) -> DataFrame:
+    """``df.mapInArrow`` for any column names, dots included."""
+    names = df.columns
+
+    def run(batches):
+        return kernel(pa.RecordBatch.from_arrays(b.columns, names=names) for b in batches)
+
+    return df.toDF(*[f"_{i}" for i in range(len(names))]).mapInArrow(run, schema)
+
+
 def accumulate(df: DataFrame, kernel: Callable) -> DataFrame:
     """Run ``kernel(batches)`` per task and sum the ``(block, i, vec)`` records it yields.
 
@@ -55,18 +63,17 @@ def accumulate(df: DataFrame, kernel: Callable) -> DataFrame:
         TASKS_PER_CORE * spark.sparkContext.defaultParallelism,
         int(spark.conf.get("spark.sql.shuffle.partitions")),
     )
-    partial = df.coalesce(tasks).mapInArrow(kernel, PARTIAL)
+    partial = map_in_arrow(df.coalesce(tasks), kernel, PARTIAL)
     total = partial.groupBy("block", "i").agg(
         Summarizer.sum(array_to_vector(F.col("vec"))).alias("v")
     )
     return total.select("block", "i", vector_to_array("v").alias("vec"))
 
 
-def spread(df: DataFrame, n_rows: int | None) -> DataFrame:
-    """Shuffle a table known to be small over all cores, before work that is heavy per row."""
-    if n_rows is None or n_rows > SMALL_ROWS:
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+def spread(df: DataFrame) -> DataFrame:
+    """Deal a table with fewer file splits than cores over all cores, before work that is heavy per row."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
 def panels(columns: int, blocks: int = 1) -> list[tuple[int, int]]:

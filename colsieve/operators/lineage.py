@@ -73,6 +73,16 @@ def final_clusters(kept: DataFrame, removed: DataFrame) -> DataFrame:
     )
 
 
+def ownerless(kept: DataFrame, removed: DataFrame) -> DataFrame:
+    """Removed columns that no kept column stands for, as (removed, step).
+
+    They went without a survivor, or their survivors end in one that did.
+    """
+    last = merge_steps(removed)
+    owned = resolve(last).join(kept.select(F.col("col").alias("owner")), "owner", "left_semi")
+    return last.join(owned.select("removed"), "removed", "left_anti").select("removed", "step")
+
+
 def cluster_sizes(owned: DataFrame, kept: DataFrame, key: str = "col") -> DataFrame:
     """Members per kept column, itself included, without building member lists."""
     counts = owned.groupBy("owner").agg(F.count("*").alias("n"))
@@ -127,44 +137,39 @@ def rebuild_from_steps(pass2: DataFrame, pass3: DataFrame, survivors: DataFrame)
     return owned.join(chained.select("removed", "step"), "removed").select("owner", "removed", "step")
 
 
-def to_document(clusters: DataFrame) -> dict:
-    """The lineage document: one entry per kept column, with totals."""
-    rows = clusters.orderBy("col").collect()  # one row per kept column
-    entries = {}
-    sizes: dict[str, int] = {}
-    history = {"pass2_only": 0, "pass3_only": 0, "both_passes": 0}
-    for r in rows:
-        entry = r.asDict(recursive=True)
-        name = entry.pop("col")
-        entries[name] = entry
-        key = str(entry["cluster_size"])
-        sizes[key] = sizes.get(key, 0) + 1
-        two, three = entry["removal_history"]["pass2"], entry["removal_history"]["pass3"]
-        if two and three:
-            history["both_passes"] += 1
-        elif two:
-            history["pass2_only"] += 1
-        elif three:
-            history["pass3_only"] += 1
-    alone = sum(1 for e in entries.values() if not e["total_alternatives"])
-    totals = {
-        "total_descriptors": len(entries),
-        "descriptors_with_alternatives": len(entries) - alone,
-        "standalone_descriptors": alone,
-        "total_alternative_descriptors": sum(e["total_alternatives"] for e in entries.values()),
-    }
-    ranked = sorted(entries.items(), key=lambda kv: -kv[1]["cluster_size"])[:20]
+def to_document(clusters: DataFrame, lost: DataFrame | None = None) -> dict:
+    """Totals, distributions and the entry of every kept column, added up by Spark.
+
+    What is collected is bounded by the number of columns. ``lost`` holds the columns that no kept
+    one stands for, as ``ownerless`` gives them.
+    """
+    sizes = clusters.select("col", "cluster_size")
+    two, three = (
+        clusters.select(F.col("col").alias("owner"), F.explode(f"removal_history.pass{k}").alias("removed"), F.lit(k).alias("step"))
+        for k in (2, 3))
+    members = two.unionByName(three)
+    absorbed = removal_distribution(members.select("owner", "removed").distinct(), members.select("removed", "step").distinct())
+    has_others = F.col("total_alternatives") > 0
+    totals = clusters.agg(
+        F.count("*").alias("total_descriptors"), F.count_if(has_others).alias("descriptors_with_alternatives"),
+        F.count_if(~has_others).alias("standalone_descriptors"),
+        F.coalesce(F.sum("total_alternatives"), F.lit(0)).alias("total_alternative_descriptors"),
+    ).first().asDict()
+    without = [] if lost is None else [r["removed"] for r in lost.orderBy("removed").collect()]
+    totals["ownerless_descriptors"] = len(without)
+    largest = largest_clusters(sizes).select(
+        F.col("col").alias("descriptor"), "cluster_size", (F.col("cluster_size") - 1).alias("alternatives"))
     return {
-        "metadata": {"description": "Kept columns and all columns they stand for",
-                     "version": "6.0", **totals},
+        "metadata": {"description": "Kept columns and all columns they stand for", "version": "6.0", **totals},
         "statistics": {
             **totals,
-            "cluster_size_distribution": dict(sorted(sizes.items(), key=lambda kv: int(kv[0]))),
-            "removal_distribution": history,
-            "largest_clusters": [
-                {"descriptor": n, "cluster_size": e["cluster_size"],
-                 "alternatives": e["total_alternatives"]} for n, e in ranked
-            ],
+            "cluster_size_distribution": {
+                str(size): n for size, n in map(tuple, size_distribution(sizes).orderBy("cluster_size").collect())},
+            "removal_distribution": absorbed.first().asDict(),
+            "largest_clusters": [r.asDict() for r in largest.collect()],
         },
-        "descriptors": entries,
+        "ownerless": without,
+        "descriptors": {
+            name: entry.asDict(recursive=True) for name, entry in map(tuple, clusters.orderBy("col").select(
+                "col", F.struct(*[c for c in clusters.columns if c != "col"])).collect())},
     }

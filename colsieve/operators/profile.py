@@ -14,11 +14,11 @@ from colsieve.session import cut_lineage
 RANGE_EPS = 1e-6
 CDF_POINTS = 1000
 
-# Cells that may be ordered in memory at once; beyond it ranks are found by shuffling.
-MEMORY_CELLS = 8_000_000
 COLUMNS_PER_JOB = 64
+# Rows of a slice that one task orders, slices at least, and split points held per job.
 SLICE_ROWS = 1_000_000
-MAX_SLICES = 2048
+LEAST_SLICES = 64
+SPLIT_POINTS = 1 << 21
 
 
 def cdf_probs(points: int = CDF_POINTS) -> list[float]:
@@ -52,102 +52,55 @@ def _moment_fields(c: Column):
     ]
 
 
-def _sorted_measures(
-    df: DataFrame, columns: list[str], probs: list[float], with_moments: bool
-) -> DataFrame:
-    """Measures and quantiles from one sorted array per column, columns spread over tasks.
-
-    Only called where rows x columns is at most MEMORY_CELLS.
-    """
-    cells = [
-        F.struct(F.lit(i).alias("pos"), F.col(f"`{c}`").cast("double").alias("value"))
-        for i, c in enumerate(columns)
-    ]
-    extra = [v.alias(n) for n, v in _moment_fields(F.col("value"))] if with_moments else []
-    ordered = df.select(F.inline(F.array(*cells))).groupBy("pos").agg(
-        *extra, F.sort_array(F.collect_list("value")).alias("v")
-    )
-    wanted = F.array(*[F.lit(float(p)) for p in probs])
-
-    def interpolate(p):
-        place = p * F.greatest(F.size("v") - 1, F.lit(0))
-        low = F.try_element_at("v", F.floor(place).cast("int") + 1)
-        high = F.try_element_at("v", F.ceil(place).cast("int") + 1)
-        share = place - F.floor(place)
-        return F.least(low + share * (high - low), high)  # never above the next knot
-
-    name = F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("pos") + 1)
-    names = [n for n, _ in _moment_fields(F.lit(0))] if with_moments else []
-    return ordered.select(name.alias("col"), *names, F.transform(wanted, interpolate).alias("q"))
-
-
 def moments(df: DataFrame, columns: list[str]) -> DataFrame:
     """Counts, mean, population deviation and bounds: one scan per 64 columns."""
     return _union([_per_column(df, b, _moment_fields) for b in _batches(columns, COLUMNS_PER_JOB)])
 
 
-def _choose(df: DataFrame, strategy: str, n_rows: int | None) -> tuple[str, int]:
-    """The exact strategy for this many rows, and how many columns share a scan."""
-    if strategy in ("auto", "memory") and n_rows is None:
-        n_rows = df.count()
-    if strategy == "auto":
-        strategy = "memory" if n_rows <= MEMORY_CELLS else "ranks"
-    width = COLUMNS_PER_JOB
-    if strategy == "memory" and n_rows:
-        width = max(1, min(width, MEMORY_CELLS // n_rows))
-    return strategy, width
-
-
 def quantiles(
-    df: DataFrame, columns: list[str], probs: list[float], strategy: str = "auto",
+    df: DataFrame, columns: list[str], probs: list[float], strategy: str = "exact",
     n_rows: int | None = None,
 ) -> DataFrame:
-    """Exact linearly interpolated quantiles as ``(col, q array<double>)``.
+    """Linearly interpolated quantiles as ``(col, q array<double>)``.
 
-    ``memory`` sorts each column as one array; it is chosen only where rows x columns is
-    small. ``ranks`` finds the same order statistics by shuffling slices of each column, at
-    any number of rows. ``sketch`` trades exactness (rank error 1e-4) for a single scan and
-    is never chosen automatically.
+    ``exact`` counts the values of many fine slices of each column and shuffles only the slices
+    that hold a wanted rank, in the same way at any number of rows. ``sketch`` trades exactness
+    (rank error 1e-4) for a single scan.
     """
-    strategy, width = _choose(df, strategy, n_rows)
-    if strategy == "memory":
-        return _union([_sorted_measures(df, b, probs, False) for b in _batches(columns, width)])
     if strategy == "sketch":
         def fields(c: Column):
             return [("q", F.percentile_approx(c, list(probs), 10_000).cast("array<double>"))]
-    elif strategy == "ranks":
-        return _union([_rank_quantiles(df, b, probs) for b in _batches(columns, width)])
-    else:
+
+        return _union([_per_column(df, b, fields) for b in _batches(columns, COLUMNS_PER_JOB)])
+    if strategy != "exact":
         raise ValueError(f"unknown strategy {strategy!r}")
-    return _union([_per_column(df, b, fields) for b in _batches(columns, width)])
+    count = _slice_count(df.count() if n_rows is None else n_rows, len(probs))
+    width = max(1, min(COLUMNS_PER_JOB, SPLIT_POINTS // count))
+    return _union([_rank_quantiles(df, b, probs, count) for b in _batches(columns, width)])
 
 
 def measures(
-    df: DataFrame, columns: list[str], probs: list[float], strategy: str = "auto",
+    df: DataFrame, columns: list[str], probs: list[float], strategy: str = "exact",
     n_rows: int | None = None,
 ) -> DataFrame:
-    """Moments and quantiles together; one scan where the values fit in memory."""
-    strategy, width = _choose(df, strategy, n_rows)
-    if strategy == "memory":
-        return _union([_sorted_measures(df, b, probs, True) for b in _batches(columns, width)])
+    """Moments and quantiles together."""
     return moments(df, columns).join(quantiles(df, columns, probs, strategy, n_rows), "col")
 
 
 def _slice_count(n_rows: int, n_probs: int) -> int:
-    """Slices small enough to sort, and so many that each holds a few wanted ranks only."""
-    return max(2, min(MAX_SLICES, max(math.ceil(n_rows / SLICE_ROWS), n_probs // 4)))
+    """Slices small enough to sort, and so many that for a few ranks most hold none."""
+    return max(2, math.ceil(n_rows / SLICE_ROWS), min(max(LEAST_SLICES, n_probs), n_rows))
 
 
-def _long_slices(df: DataFrame, columns: list[str], n_probs: int) -> tuple[DataFrame, DataFrame]:
+def _long_slices(df: DataFrame, columns: list[str], count: int) -> tuple[DataFrame, DataFrame]:
     """Every value as ``(pos, slice, value)``, and where each slice starts among the ranks."""
-    numbers = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in columns])
+    numbers = df.select(*[F.col(f"`{c}`").cast("double").alias(f"_v{i}") for i, c in enumerate(columns)])
+    values = [f"_v{i}" for i in range(len(columns))]
     names = [f"_s{i}" for i in range(len(columns))]
-    sliced = with_slices(numbers, columns, names, _slice_count(df.count(), n_probs))
+    sliced = with_slices(numbers, values, names, count)
     cells = [
-        F.struct(
-            F.lit(i).alias("pos"), F.col(s).alias("slice"), F.col(f"`{c}`").alias("value")
-        )
-        for i, (c, s) in enumerate(zip(columns, names))
+        F.struct(F.lit(i).alias("pos"), F.col(s).alias("slice"), F.col(v).alias("value"))
+        for i, (v, s) in enumerate(zip(values, names))
     ]
     long = sliced.select(F.inline(F.array(*cells))).filter(F.col("value").isNotNull())
     sizes = long.groupBy("pos", "slice").agg(F.count("*").alias("n"))
@@ -163,7 +116,7 @@ def _long_slices(df: DataFrame, columns: list[str], n_probs: int) -> tuple[DataF
 
 def average_ranks(df: DataFrame, columns: list[str]) -> DataFrame:
     """Mean 1-based rank of each distinct value per column: ``(pos, value, rank)``."""
-    long, placed = _long_slices(df, columns, 0)
+    long, placed = _long_slices(df, columns, _slice_count(df.count(), 0))
     counts = long.groupBy("pos", "slice", "value").agg(F.count("*").alias("k"))
     inside = Window.partitionBy("pos", "slice").orderBy("value")
     spans = counts.withColumn("upto", F.sum("k").over(inside)).join(
@@ -173,44 +126,34 @@ def average_ranks(df: DataFrame, columns: list[str]) -> DataFrame:
     return spans.select("pos", "value", rank.alias("rank"))
 
 
-def _rank_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> DataFrame:
-    long, placed = _long_slices(df, columns, len(probs))
+def _rank_quantiles(df: DataFrame, columns: list[str], probs: list[float], count: int) -> DataFrame:
+    long, placed = _long_slices(df, columns, count)
     wanted = F.array(*[F.lit(float(p)) for p in probs])
-    ranks = F.array_distinct(
-        F.flatten(
-            F.transform(
-                wanted,
-                lambda p: F.array(
-                    F.floor(p * (F.col("n_valid") - 1)), F.ceil(p * (F.col("n_valid") - 1))
-                ),
-            )
-        )
-    )
-    targets = placed.withColumn(
-        "ranks", F.filter(ranks, lambda r: (r >= F.col("first")) & (r < F.col("last")))
-    ).filter(F.size("ranks") > 0)
+    near = F.transform(wanted, lambda p: F.array(
+        F.floor(p * (F.col("n_valid") - 1)), F.ceil(p * (F.col("n_valid") - 1))))
+    ranks = placed.groupBy("pos").agg(F.first("n_valid").alias("n_valid")).select(
+        "pos", F.explode(F.array_distinct(F.flatten(near))).alias("at"))
+    # Slices and ranks in one order: the slice that starts last before a rank holds it.
+    events = placed.select("pos", F.col("first").alias("at"), "slice").unionByName(ranks, allowMissingColumns=True)
+    upto_here = Window.partitionBy("pos").orderBy("at", F.col("slice").asc_nulls_last())
+    targets = cut_lineage(events.select(
+        "pos", F.col("at").alias("rank"), F.col("slice").isNull().alias("asked"),
+        F.last("slice", ignorenulls=True).over(upto_here).alias("slice"),
+        F.last(F.when(F.col("slice").isNotNull(), F.col("at")), ignorenulls=True).over(upto_here).alias("first"),
+    ).filter("asked").drop("asked"))
 
     # Only slices that hold a wanted rank go on; equal values collapse before the shuffle.
     counts = (
-        long.join(targets.select("pos", "slice"), ["pos", "slice"], "left_semi")
+        long.join(targets.select("pos", "slice").distinct(), ["pos", "slice"], "left_semi")
         .groupBy("pos", "slice", "value")
         .agg(F.count("*").alias("k"))
     )
     inside = Window.partitionBy("pos", "slice").orderBy("value")
-    spans = counts.withColumn("upto", F.sum("k").over(inside)).join(
-        targets.select("pos", "slice", "first", "ranks"), ["pos", "slice"]
-    )
-    found = spans.select(
-        "pos",
-        F.explode(
-            F.filter(
-                "ranks",
-                lambda r: (r - F.col("first") >= F.col("upto") - F.col("k"))
-                & (r - F.col("first") < F.col("upto")),
-            )
-        ).alias("rank"),
-        "value",
-    )
+    spans = counts.withColumn("upto", F.sum("k").over(inside)).alias("s")
+    t = targets.alias("t")
+    found = spans.join(t, (F.col("s.pos") == F.col("t.pos")) & (F.col("s.slice") == F.col("t.slice")) & (
+        F.col("t.rank") - F.col("t.first") >= F.col("upto") - F.col("k")) & (
+        F.col("t.rank") - F.col("t.first") < F.col("upto"))).select("s.pos", "t.rank", "s.value")
     # At most two order statistics per requested probability and column from here on.
     table = found.groupBy("pos").agg(
         F.map_from_entries(F.collect_list(F.struct("rank", "value"))).alias("at")
@@ -229,7 +172,7 @@ def _rank_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> Da
 
 
 def cdf_tables(
-    df: DataFrame, columns: list[str], points: int = CDF_POINTS, strategy: str = "auto",
+    df: DataFrame, columns: list[str], points: int = CDF_POINTS, strategy: str = "exact",
     n_rows: int | None = None,
 ) -> DataFrame:
     """Per column the quantiles at i/(points-1), which never decrease: ``(col, cdf)``."""
@@ -238,7 +181,7 @@ def cdf_tables(
 
 def profile(
     df: DataFrame, columns: list[str], trim: tuple[float, float] = (0.025, 0.975),
-    strategy: str = "auto", n_rows: int | None = None, cdf_points: int = 0,
+    strategy: str = "exact", n_rows: int | None = None, cdf_points: int = 0,
 ) -> DataFrame:
     """One row per column with the measures that decide what is kept.
 
@@ -302,9 +245,9 @@ def clip_to_bounds(df: DataFrame, bounds: dict[str, tuple[float, float]]) -> Dat
     return df.select(
         *[
             F.when(
-                F.col(c).isNotNull(),
-                F.greatest(F.least(F.col(c), F.lit(bounds[c][1])), F.lit(bounds[c][0])),
-            ).alias(c) if c in bounds else F.col(c)
+                F.col(f"`{c}`").isNotNull(),
+                F.greatest(F.least(F.col(f"`{c}`"), F.lit(bounds[c][1])), F.lit(bounds[c][0])),
+            ).alias(c) if c in bounds else F.col(f"`{c}`")
             for c in df.columns
         ]
     )

@@ -11,11 +11,6 @@ from colsieve.functions.hashing import hash_key
 from colsieve.functions.joins import join_null_safe
 from colsieve.session import cut_lineage
 
-# Spark keeps only the k first rows per group before the shuffle up to this k.
-GROUP_LIMIT = 1000
-# Group counts are broadcast up to this many groups; beyond, Spark joins them as it sees fit.
-BROADCAST_GROUPS = 200_000
-
 
 def sample_per_group(
     df: DataFrame, group: str, keys: list[str], k: int, seed: int = 42
@@ -24,9 +19,7 @@ def sample_per_group(
 
     The hash depends on the row alone, so adding a file leaves the others' samples alone.
     """
-    hashed = df.withColumn("_h", hash_key(keys, seed))
-    if k > GROUP_LIMIT:
-        hashed = _keep_small_hashes(hashed, group, k)
+    hashed = _keep_small_hashes(df.withColumn("_h", hash_key(keys, seed)), group, k)
     order = Window.partitionBy(group).orderBy("_h", *keys)
     return hashed.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= k).drop(
         "_h", "_r"
@@ -36,19 +29,19 @@ def sample_per_group(
 def _keep_small_hashes(hashed: DataFrame, group: str, k: int) -> DataFrame:
     """Drop rows whose hash is far too large to be among the k first of their group.
 
-    Hashes are uniform, so k of n rows lie below about k/n; the cut leaves a wide margin. Should
-    a group still keep fewer than k rows, nothing is dropped, so the answer is always exact.
+    Hashes are uniform, so k of n rows lie below about k/n; the cut leaves a wide margin. A group
+    that still keeps fewer than k rows comes back whole, so the answer is always exact.
     """
     counts = cut_lineage(hashed.groupBy(group).agg(F.count("*").alias("_n")))
-    if counts.count() <= BROADCAST_GROUPS:
-        counts = F.broadcast(counts)
     share = F.conv(F.substring("_h", 1, 12), 16, 10).cast("double") / float(16**12)
     margin = k + 8 * math.sqrt(k) + 50
     near = join_null_safe(hashed, counts, [group]).filter(share * F.col("_n") <= margin)
     held = near.groupBy(group).agg(F.count("*").alias("_held"), F.first("_n").alias("_n"))
     enough = held.filter(F.col("_held") >= F.least(F.lit(k), F.col("_n")))
     missed = join_null_safe(counts, enough.select(group), [group], "left_anti")
-    return near.drop("_n") if missed.isEmpty() else hashed
+    missed = cut_lineage(missed.select(group))
+    held_well = join_null_safe(near.drop("_n"), missed, [group], "left_anti")
+    return held_well.unionByName(join_null_safe(hashed, missed, [group], "left_semi"))
 
 
 def sample_addresses(

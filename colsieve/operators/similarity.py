@@ -204,7 +204,6 @@ def _sines(z: np.ndarray, weights: np.ndarray) -> np.ndarray:
 
 def sine_dependence(
     df: DataFrame, columns: list[str], knots: np.ndarray | None, weights,
-    n_rows: int | None = None,
 ) -> DataFrame:
     """Mean correlation of random sine features per weight block: ``(block, i, j, s)``.
 
@@ -212,12 +211,12 @@ def sine_dependence(
     of features and share their scans. The first scan finds mean and deviation of every
     feature, the second adds up products of standardised features. With ``knots`` the columns
     pass through normal scores first. Blocks are split over several pairs of scans where their
-    matrices would not fit in a task. ``n_rows`` lets a small table use all cores.
+    matrices would not fit in a task.
     """
     p = len(columns)
     weights = [np.asarray(w) for w in weights]
     context = df.sparkSession.sparkContext
-    source = spread(df.select(*[F.col(f"`{c}`") for c in columns]), n_rows)
+    source = spread(df.select(*[F.col(f"`{c}`") for c in columns]))
     tables = context.broadcast(knots)  # at most TABLE_BYTES
 
     def scored(batches, part):
@@ -295,31 +294,31 @@ def lower_median(blocks: DataFrame, per_repetition: int = 1) -> DataFrame:
 
 def hsic_like(
     df: DataFrame, columns: list[str], knots: np.ndarray, seed: int = 42,
-    features: int = 50, repetitions: int = 8, n_rows: int | None = None,
+    features: int = 50, repetitions: int = 8,
 ) -> DataFrame:
     """HSIC-style dependence: lower median over repetitions."""
     w = projections(seed, "hsic", repetitions, len(columns), features)
-    return lower_median(sine_dependence(df, columns, knots, w, n_rows))
+    return lower_median(sine_dependence(df, columns, knots, w))
 
 
 def rdc_like(
     df: DataFrame, columns: list[str], knots: np.ndarray, seed: int = 42,
-    features: int = 20, repetitions: int = 8, draws: int = 10, n_rows: int | None = None,
+    features: int = 20, repetitions: int = 8, draws: int = 10,
 ) -> DataFrame:
     """RDC-style dependence: mean over draws, then lower median over repetitions."""
     w = projections(seed, "rdc", repetitions * draws, len(columns), features)
-    return lower_median(sine_dependence(df, columns, knots, w, n_rows), draws)
+    return lower_median(sine_dependence(df, columns, knots, w), draws)
 
 
 def both_dependences(
     df: DataFrame, columns: list[str], knots: np.ndarray, seed: int = 42, repetitions: int = 8,
-    hsic_features: int = 50, rdc_features: int = 20, draws: int = 10, n_rows: int | None = None,
+    hsic_features: int = 50, rdc_features: int = 20, draws: int = 10,
 ) -> tuple[DataFrame, DataFrame]:
     """``hsic_like`` and ``rdc_like`` from the same scans."""
     p = len(columns)
     h = projections(seed, "hsic", repetitions, p, hsic_features)
     r = projections(seed, "rdc", repetitions * draws, p, rdc_features)
-    blocks = cut_lineage(sine_dependence(df, columns, knots, [*h, *r], n_rows))
+    blocks = cut_lineage(sine_dependence(df, columns, knots, [*h, *r]))
     later = blocks.filter(F.col("block") >= repetitions).withColumn("block", F.col("block") - repetitions)
     return lower_median(blocks.filter(F.col("block") < repetitions)), lower_median(later, draws)
 

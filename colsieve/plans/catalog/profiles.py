@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from colsieve.operators import profile as P
 from colsieve.plans.catalog.common import FEATURES, features, features_sql, long_sql, query, r6, table
 
-PROBS = P.cdf_probs(101)
+PROBS = P.cdf_probs()
 PROBS_SQL = "[" + ", ".join(repr(p) for p in PROBS) + "]"
 
 # Fixed statistics of every feature column, as the profile defines them.
@@ -84,7 +84,7 @@ CDF_SQL = f"""
 WITH long AS ({long_sql(CDF_COLUMNS, 'lineitem')}),
 q AS (SELECT col, quantile_cont(value, {PROBS_SQL}) AS cdf FROM long GROUP BY col)
 SELECT col, CAST(i AS BIGINT) AS idx, round(v, 6) AS value FROM (
-  SELECT col, unnest(range(101)) AS i, unnest(cdf) AS v FROM q)
+  SELECT col, unnest(range({P.CDF_POINTS})) AS i, unnest(cdf) AS v FROM q)
 """
 
 
@@ -96,14 +96,7 @@ def _cdf_rows(tables):
 
 @query(CDF_SQL)
 def cdf_table(spark, folder):
-    return _cdf_rows(P.cdf_tables(table(spark, folder, "lineitem"), CDF_COLUMNS, 101))
-
-
-@query(CDF_SQL)
-def cdf_table_by_ranks(spark, folder):
-    """The same table by the shuffle that serves any number of rows."""
-    li = table(spark, folder, "lineitem")
-    return _cdf_rows(P.cdf_tables(li, CDF_COLUMNS, 101, "ranks"))
+    return _cdf_rows(P.cdf_tables(table(spark, folder, "lineitem"), CDF_COLUMNS))
 
 
 @query("""

@@ -19,7 +19,7 @@ from colsieve.plans.reduction import pair_matrix
 from colsieve.session import cut_lineage
 from colsieve.sources.tables import explode_vector
 
-POINTS = 101
+POINTS = P.CDF_POINTS
 
 
 def scores_sql(wide: str, names: list[str], keep: str = "") -> str:
@@ -283,7 +283,7 @@ _HSIC_SQL = "SELECT i, j, CASE WHEN i = j THEN 1 ELSE quantile_disc(s, 0.5) END
 @query(_dependence_ctes(W_HSIC) + "SELECT i, j, round(s, 6) AS s FROM (" + _HSIC_SQL.format(blocks="blocks") + ") WHERE i < j")
 def hsic_like(spark, folder):
     part = _part(spark, folder)
-    pairs = S.hsic_like(part, PART, _knots(part, PART), 42, 6, 4, part.count())
+    pairs = S.hsic_like(part, PART, _knots(part, PART), 42, 6, 4)
     return pairs.filter("i < j").select("i", "j", r6("s").alias("s"))
 
 
@@ -293,7 +293,7 @@ _RDC_RUNS = "(SELECT block // 2 AS block, i, j, avg(s) AS s FROM blocks GROUP BY
 @query(_dependence_ctes(W_RDC) + "SELECT i, j, round(s, 6) AS s FROM (" + _HSIC_SQL.format(blocks=_RDC_RUNS) + ") WHERE i < j")
 def rdc_like(spark, folder):
     part = _part(spark, folder)
-    pairs = S.rdc_like(part, PART, _knots(part, PART), 42, 4, 4, 2, part.count())
+    pairs = S.rdc_like(part, PART, _knots(part, PART), 42, 4, 4, 2)
     return pairs.filter("i < j").select("i", "j", r6("s").alias("s"))
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
+import hashlib
+import json
+from dataclasses import asdict, replace
 from functools import partial
 from pathlib import Path
 
@@ -20,8 +22,9 @@ from colsieve.operators.quality import outcome_metrics
 from colsieve.operators.structures import rdkit_toolkit, with_structures
 from colsieve.functions.text import PROPERTY_ALIASES
 from colsieve.plans.reduction import Reduction
+from colsieve.session import cut_lineage
 from colsieve.sources.records import as_rows, read_xml, rejected
-from colsieve.sources.tables import METADATA, enforce_schema, load_master_schema, master_schema, read_table
+from colsieve.sources.tables import METADATA, enforce_schema, files_identity, load_master_schema, master_schema, read_table
 
 
 def read_records(
@@ -35,6 +38,7 @@ def read_records(
         return read_table(spark, path)
     records = read_xml(spark, path, recursive=folder_of_xml)
     if errors:
+        records = cut_lineage(records)  # parsed once, used twice
         sinks.write_table(rejected(records), errors, "csv")
     if filter_property:
         value = matching_value(F.col("props"), filter_property, PROPERTY_ALIASES.get(filter_property))
@@ -85,7 +89,10 @@ def process_all(
     """Records, descriptors, quality counters and the reduction in one go."""
     out = config.io.output_dir.rstrip("/")
     records = read_records(spark, path, f"{out}/record_errors", **filters)
-    table = sinks.saved(spark, f"{out}/descriptors", lambda: descriptors(records, config, schema),
+    settings = [files_identity(spark, path), asdict(config.preprocessing), asdict(config.descriptor), filters,
+                load_master_schema(schema) if schema else None]
+    key = hashlib.md5(json.dumps(settings, default=str, sort_keys=True).encode()).hexdigest()[:12]
+    table = sinks.saved(spark, f"{out}/descriptors-{key}", lambda: descriptors(records, config, schema),
                         reuse=config.system.checkpoint)
     metrics = outcome_metrics(table, ["source_file"], F.col("standardization_status"))
     sinks.write_table(metrics, f"{out}/metrics", "tsv")

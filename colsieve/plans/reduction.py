@@ -17,7 +17,7 @@ from colsieve.operators import graph, lineage, similarity, vif
 from colsieve.operators.gram import STATE_BYTES
 from colsieve.operators.profile import keep_reason, profile
 from colsieve.operators.sampling import sample_per_group
-from colsieve.sources.tables import as_features, feature_columns, read_parquet, with_row_address
+from colsieve.sources.tables import as_features, feature_columns, identity, read_parquet, with_row_address
 
 log = logging.getLogger(__name__)
 
@@ -42,8 +42,9 @@ def pair_matrix(pairs: DataFrame, wanted: list[int]) -> np.ndarray:
 class Reduction:
     """One run over one table; every pass leaves a table that a later run can take up.
 
-    Saved results are found by a key made of the input files, the row count and all settings
-    up to that pass, so a changed threshold never meets an old result.
+    Saved results are found by a key made of path, length and modification time of every input
+    file and all settings up to that pass, so neither a changed threshold nor a rewritten input
+    meets an old result.
     """
 
     def __init__(self, spark: SparkSession, config: Config, table: DataFrame | None = None):
@@ -72,7 +73,7 @@ class Reduction:
     def sample(self) -> DataFrame:
         """Pass 0: a fixed number of rows per source file, metadata columns kept."""
         k = self.config.filtering.sample_per_file
-        self._advance(sorted(self.table.inputFiles()), self.columns, k, self.config.system.random_seed)
+        self._advance(identity(self.table), self.columns, k, self.config.system.random_seed)
         if k is None:
             return self.table
 
@@ -179,7 +180,7 @@ class Reduction:
             sinks.write_document(self.spark, found, path)
         self.removals = [vif.Removal(**r) for r in found["removed"]]
         self.columns_p3 = found["kept"]
-        links = [(r.column, r.survivor, 3) for r in self.removals if r.survivor]
+        links = [(r.column, r.survivor, 3) for r in self.removals]
         self.links3 = self.spark.createDataFrame(links, LINKS)
         return self.removals
 
@@ -200,16 +201,16 @@ class Reduction:
         def similarities():
             if f.w_hsic > 0 and f.w_rdc > 0:
                 return similarity.both_dependences(
-                    self.features, columns, knots, seed, f.r, f.hsic_D, f.rdc_d, f.rdc_seeds, self.n_rows
+                    self.features, columns, knots, seed, f.r, f.hsic_D, f.rdc_d, f.rdc_seeds
                 )
             # A part without weight needs no scan.
             nothing = similarity.pairs_of(self.spark, np.eye(p))
             if f.w_hsic > 0:
                 return similarity.hsic_like(
-                    self.features, columns, knots, seed, f.hsic_D, f.r, self.n_rows
+                    self.features, columns, knots, seed, f.hsic_D, f.r
                 ), nothing
             return nothing, similarity.rdc_like(
-                self.features, columns, knots, seed, f.rdc_d, f.r, f.rdc_seeds, self.n_rows
+                self.features, columns, knots, seed, f.rdc_d, f.r, f.rdc_seeds
             )
 
         fused = self._saved(
@@ -238,7 +239,8 @@ class Reduction:
         kept = self.spark.createDataFrame([(c,) for c in self.columns_final], "col string")
         links = self.links2.unionByName(self.links3).unionByName(self.links4)
         clusters = self._saved("lineage", lambda: lineage.final_clusters(kept, links))
-        self.document = lineage.to_document(clusters)
+        lost = self._saved("lineage_ownerless", lambda: lineage.ownerless(kept, links))
+        self.document = lineage.to_document(clusters, lost)
         sinks.write_document(self.spark, self.document, f"{self.out}/final_cluster_info")
         sinks.write_names(self.spark, self.columns_final, f"{self.out}/final_descriptors")
         return clusters

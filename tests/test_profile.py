@@ -22,33 +22,31 @@ def awkward(spark):
     return as_features(raw, raw.columns)
 
 
-def test_strategies_agree(spark, awkward, monkeypatch):
-    monkeypatch.setattr(P, "SLICE_ROWS", 100)
+@pytest.mark.parametrize("slice_rows", [50, 1_000_000])
+def test_quantiles_equal_numpy(awkward, monkeypatch, slice_rows):
+    monkeypatch.setattr(P, "SLICE_ROWS", slice_rows)
     probs = [0.0, 0.025, 0.5, 0.9, 1.0]
-    found = {}
-    for strategy in ("memory", "ranks"):
-        rows = P.quantiles(awkward, awkward.columns, probs, strategy).collect()
-        found[strategy] = {r["col"]: r["q"] for r in rows}
-    assert set(found["ranks"]) == set(awkward.columns)
-    for c in awkward.columns:
-        a, b = found["memory"][c], found["ranks"][c]
-        if c == "empty":
-            assert not a or all(v is None for v in a)
-            assert not b or all(v is None for v in b)
+    found = {r["col"]: r["q"] for r in P.quantiles(awkward, awkward.columns, probs).collect()}
+    assert set(found) == set(awkward.columns)
+    for c, q in found.items():
+        values = [r[0] for r in awkward.select(c).collect() if r[0] is not None]
+        if values:
+            assert q == pytest.approx(list(np.quantile(values, probs)), abs=1e-12)
         else:
-            assert a == pytest.approx(b, abs=1e-12)
-            values = [r[0] for r in awkward.select(c).collect() if r[0] is not None]
-            assert a == pytest.approx(list(np.quantile(values, probs)), abs=1e-12)
-
-
-def test_profile_measures_agree_between_strategies(awkward):
-    one = {r["col"]: r for r in P.profile(awkward, awkward.columns, strategy="memory").collect()}
-    two = {r["col"]: r for r in P.profile(awkward, awkward.columns, strategy="ranks").collect()}
-    assert set(one) == set(two) == set(awkward.columns)
-    for c in one:
-        for k in one[c].asDict():
-            if k != "col":
-                assert one[c][k] == pytest.approx(two[c][k], rel=1e-9), (c, k)
+            assert not q or all(v is None for v in q)
+
+
+def test_columns_of_one_job_do_not_matter(awkward, monkeypatch):
+    one = {r["col"]: r for r in P.profile(awkward, awkward.columns).collect()}
+    monkeypatch.setattr(P, "SPLIT_POINTS", 1)
+    two = {r["col"]: r for r in P.profile(awkward, awkward.columns).collect()}
+    assert one == two and set(one) == set(awkward.columns)
+
+
+def test_empty_table_gives_a_row_per_column(awkward):
+    rows = P.profile(awkward.filter("false"), awkward.columns).collect()
+    assert {r["col"] for r in rows} == set(awkward.columns)
+    assert all(r["n_total"] == 0 and r["n_valid"] == 0 for r in rows)
 
 
 def test_nan_and_infinity_are_missing(awkward):

@@ -5,7 +5,7 @@ import json
 import numpy as np
 import pytest
 
-from colsieve import cli, config
+from colsieve import cli, config, sinks
 from colsieve.models.grid import Experiments
 from colsieve.plans.catalog.common import features
 from colsieve.plans.reduction import Reduction
@@ -86,8 +86,8 @@ def test_command_line(spark, wide, tmp_path, capsys, monkeypatch):
     args = ["train", "--input", wide, "--target-col", "f6", "--key", "id", "--output-dir", models,
             "--descriptor-sizes", "2,4", "--models", "Ridge,Lasso", "--cv-folds", "3"]
     assert cli.main(args) == 0
-    results = json.loads((tmp_path / "m" / "ml_results.json").read_text())
-    assert len(results) == 4 and (tmp_path / "m" / "best_model.json").exists()
+    results = sinks.read_document(spark, f"{models}/ml_results.json")
+    assert len(results) == 4 and sinks.read_document(spark, f"{models}/best_model.json")["model_name"] in ("Ridge", "Lasso")
     assert spark.read.csv(f"{models}/plot_residuals", header=True).count() > 0
     csv = tmp_path / "records.csv"
     csv.write_text("CID,SMILES::Absolute\n" + "\n".join(f"{i},{'C' * (i % 7 + 1)}{'N' * (i % 3)}O" for i in range(150)))

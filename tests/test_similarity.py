@@ -87,7 +87,7 @@ def test_sine_dependence_blocks_over_several_scans(planted, monkeypatch):
     w = projections(42, "hsic", 3, 3, 4)
     got = {(r["block"], r["i"], r["j"]): r["s"] for r in similarity.sine_dependence(df, names, None, w).collect()}
     monkeypatch.setattr(similarity, "STATE_BYTES", 8 * 9)  # one block per scan
-    again = {(r["block"], r["i"], r["j"]): r["s"] for r in similarity.sine_dependence(df, names, None, w, 4000).collect()}
+    again = {(r["block"], r["i"], r["j"]): r["s"] for r in similarity.sine_dependence(df, names, None, w).collect()}
     assert got == pytest.approx(again, abs=1e-12)
     z = np.sin(np.array([data[n] for n in names])[:, :, None] * w[1][:, None, :])
     z = (z - z.mean(axis=1, keepdims=True)) / z.std(axis=1, ddof=1, keepdims=True)

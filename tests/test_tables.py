@@ -6,6 +6,7 @@ from colsieve import config, sinks
 from colsieve.functions.ranking import with_group_rank
 from colsieve.models import linear
 from colsieve.models.prepare import choose_descriptors, with_blocks
+from colsieve.functions import hashing
 from colsieve.operators import lineage, sampling
 from colsieve.sources import tables
 
@@ -96,6 +97,28 @@ def test_lineage_chain(spark):
     assert document["metadata"]["standalone_descriptors"] == 1
 
 
+def test_columns_without_survivor_stay_in_the_lineage(spark):
+    links = spark.createDataFrame(
+        [("a", "d", 2), ("m", "o", 2), ("o", None, 3), ("p", None, 3), ("p", "d", 2)], "removed string, survivor string, step int")
+    kept = spark.createDataFrame([("d",)], "col string")
+    lost = lineage.ownerless(kept, links)
+    assert sorted(map(tuple, lost.collect())) == [("m", 2), ("o", 3), ("p", 3)]
+    document = lineage.to_document(lineage.final_clusters(kept, links), lost)
+    assert document["ownerless"] == ["m", "o", "p"] and document["metadata"]["ownerless_descriptors"] == 3
+    assert document["descriptors"]["d"]["alternative_descriptors"] == ["a"]
+
+
+def test_hash_cuts_narrow_their_buckets(spark, monkeypatch):
+    df = spark.range(5000)
+    plain = hashing.hash_cuts(df, ["id"], 7, lambda n: [0, 1, n // 3, n])
+    monkeypatch.setattr(hashing, "BUCKET_ROWS", 1)
+    monkeypatch.setattr(hashing, "DIGITS", 1)
+    assert hashing.hash_cuts(df, ["id"], 7, lambda n: [0, 1, n // 3, n]) == plain
+    order = sorted(r[0] for r in df.select(hashing.hash_key(["id"], 7)).collect())
+    assert plain == ["", order[0], order[5000 // 3 - 1], order[-1]]
+    assert hashing.hash_cuts(df.filter("false"), ["id"], 7, lambda n: [0]) == [""]
+
+
 def test_cyclic_links_are_refused(spark):
     links = spark.createDataFrame([("a", "b", 2), ("b", "c", 2), ("c", "a", 2)], "removed string, survivor string, step int")
     with pytest.raises(ValueError):
