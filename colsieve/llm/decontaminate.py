@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from colsieve.llm import textscan
+from colsieve.llm.store import small_batches
 
 K1, B = 1.2, 0.75
 THRESHOLD = 0.4  # of an item's own score
@@ -219,6 +220,7 @@ def found_items(index: Index, text: Column) -> Column:
 
 def shards(items: DataFrame) -> list[Index]:
     """Indexes over all items, each of bounded size."""
+    small_batches(items.sparkSession)
     clean = items.select(
         F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")
     ).filter("item_id IS NOT NULL AND text IS NOT NULL").distinct()

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from colsieve.llm.labelled import fraction
+from colsieve.llm.store import small_batches
 
 TRAINING_PAGES = 200
 TRAINING_CHARS = 200_000  # longer pages aren't trained on
@@ -351,6 +352,7 @@ def extract(pages: DataFrame, model: Field | None = None) -> DataFrame:
 
     Null, empty and text-free html gives an empty text. Other columns are ignored; ids aren't used.
     """
+    small_batches(pages.sparkSession)
     field_ = model or fit(pages)
 
     def texts(sources: pa.Array) -> pa.Array:

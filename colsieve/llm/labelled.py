@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from colsieve.llm.store import remainder_is
+from colsieve.llm.store import remainder_is, small_batches
 
 MOST_CLASSES = 1000
 
@@ -34,6 +34,7 @@ def chosen(rows: DataFrame, per_class: int) -> DataFrame:
 
 def training_texts(docs: DataFrame, labels: DataFrame, per_class: int) -> DataFrame:
     """``(text, label, weight)`` of the chosen ids. Their number is bounded, so they are broadcast."""
+    small_batches(docs.sparkSession)
     picked = chosen(labels, per_class)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return texts.join(F.broadcast(picked), "doc_id").select("text", "label", "weight")

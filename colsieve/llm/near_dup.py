@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from colsieve.llm import sieve, textscan
-from colsieve.llm.store import cut_lineage, unused
+from colsieve.llm.store import cut_lineage, small_batches, unused
 from colsieve.operators.graph import components
 
 WIDTH = 5
@@ -210,6 +210,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     wordless texts have no shingle and stand alone, as do rows without doc_id (component null, kept).
     Rows that share a doc_id are each looked at; they link through that id. Other columns are ignored.
     """
+    small_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     profile = cut_lineage(docs.mapInArrow(
         _profile, "doc_id long, n_shingles long, f1 long, f2 long, signature binary, bands array<long>"

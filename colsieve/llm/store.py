@@ -10,7 +10,17 @@ from pyspark.sql.column import Column
 
 from colsieve.session import cut_lineage, ensure_checkpoint_dir
 
-__all__ = ["cut_lineage", "ensure_checkpoint_dir", "table", "remainder_is", "unused"]
+__all__ = ["cut_lineage", "ensure_checkpoint_dir", "small_batches", "table", "remainder_is", "unused"]
+
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """From now on at most ``BATCH_ROWS`` rows go to a Python worker at once, as texts may be long."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    given = int(spark.conf.get(setting))
+    if given <= 0 or given > BATCH_ROWS:
+        spark.conf.set(setting, BATCH_ROWS)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -18,7 +18,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from colsieve.llm.store import cut_lineage
+from colsieve.llm.store import cut_lineage, small_batches
 
 MIN_REVISIT_BYTES = 0
 ARCHIVE_BYTES = 4 << 20
@@ -172,6 +172,7 @@ def write_archives(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> Data
     response; rows with a smaller id revisit it. Null html is an empty payload. Rows that repeat the
     largest id are all responses, as are rows without page_id. Other columns are ignored.
     """
+    small_batches(pages.sparkSession)
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
         F.encode(F.coalesce(F.col("html").cast("string"), F.lit("")), "UTF-8").alias("html"),
