@@ -177,6 +177,22 @@ def lineage_closure(spark, folder):
     return L.resolve(L.merge_steps(links))
 
 
+@query("""
+WITH RECURSIVE links AS (
+  SELECT o_orderkey AS removed, CASE WHEN o_orderkey % 7 <> 3 THEN o_orderkey // 3 END AS survivor,
+    2 + o_orderkey % 3 AS step FROM orders WHERE o_orderkey % 50 <> 0),
+walk AS (SELECT removed, survivor AS owner FROM links WHERE survivor IS NOT NULL UNION ALL
+         SELECT w.removed, l.survivor FROM walk w JOIN links l ON w.owner = l.removed WHERE l.survivor IS NOT NULL)
+SELECT removed, step FROM links WHERE removed NOT IN (
+  SELECT w.removed FROM walk w JOIN orders k ON w.owner = k.o_orderkey WHERE k.o_orderkey % 50 = 0)
+""")
+def ownerless_columns(spark, folder):
+    """Every seventh order went without a survivor; it and what it stood for have no owner."""
+    links, kept = _links(spark, folder)
+    alone = F.when(F.col("removed") % 7 != 3, F.col("survivor"))
+    return L.ownerless(kept, links.withColumn("survivor", alone))
+
+
 @query("WITH RECURSIVE " + LINKS_SQL + "SELECT cluster_size, count(*) AS n_clusters FROM sizes GROUP BY 1")
 def size_distribution(spark, folder):
     return L.size_distribution(_sizes(spark, folder))

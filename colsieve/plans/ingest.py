@@ -17,8 +17,8 @@ from colsieve.operators.featurize import (
     SMILES_FEATURES, apply_guarded, choose, describe, toolkit_available, toolkit_descriptors,
     toolkit_names, with_features,
 )
-from colsieve.operators.properties import filter_by_range, matching_value
-from colsieve.operators.quality import outcome_metrics
+from colsieve.operators.properties import filter_by_range, matching_value, range_counts
+from colsieve.operators.quality import combine_summaries, error_summary, outcome_metrics
 from colsieve.operators.structures import rdkit_toolkit, with_structures
 from colsieve.functions.text import PROPERTY_ALIASES
 from colsieve.plans.reduction import Reduction
@@ -31,7 +31,11 @@ def read_records(
     spark: SparkSession, path: str, errors: str | None = None, filter_property: str | None = None,
     low: float | None = None, high: float | None = None,
 ) -> DataFrame:
-    """Record rows from XML, CSV or Parquet; XML rejects go to ``errors``."""
+    """Record rows from XML, CSV or Parquet.
+
+    XML rejects go to ``errors``, their number by kind to ``errors``_summary, and what the filter
+    let pass to ``errors``_filter.
+    """
     names = path.lower()
     folder_of_xml = Path(path).is_dir() and any(Path(path).rglob("*.xml*"))
     if not (names.endswith((".xml", ".xml.gz")) or folder_of_xml):
@@ -39,9 +43,14 @@ def read_records(
     records = read_xml(spark, path, recursive=folder_of_xml)
     if errors:
         records = cut_lineage(records)  # parsed once, used twice
-        sinks.write_table(rejected(records), errors, "csv")
+        bad = rejected(records)
+        sinks.write_table(bad, errors, "csv")
+        counted = error_summary(bad, "error", "cid")
+        sinks.write_table(counted.withColumn("examples", F.array_join("examples", ", ")), f"{errors}_summary", "tsv")
     if filter_property:
         value = matching_value(F.col("props"), filter_property, PROPERTY_ALIASES.get(filter_property))
+        if errors:
+            sinks.write_table(range_counts(records, value, low, high), f"{errors}_filter", "tsv")
         records = filter_by_range(records, value, low, high)
     return as_rows(records)
 
@@ -96,5 +105,9 @@ def process_all(
                         reuse=config.system.checkpoint)
     metrics = outcome_metrics(table, ["source_file"], F.col("standardization_status"))
     sinks.write_table(metrics, f"{out}/metrics", "tsv")
+    totals = combine_summaries(metrics, ["n_total", "n_success", "n_failed", "n_timeout"])
+    sinks.write_table(totals, f"{out}/batch_summary", "tsv")
+    late = table.filter("standardization_status = 'failed(skip)'").select("CID", "source_file")
+    sinks.write_table(late, f"{out}/timeouts", "tsv")
     sized = replace(config, io=replace(config.io, n_metadata=len(METADATA)))
     return Reduction(spark, sized, table).run()

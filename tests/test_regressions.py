@@ -50,6 +50,9 @@ def test_second_input_into_the_same_folder(spark, tmp_path):
         metrics = spark.read.csv(f"{tmp_path}/out/metrics", sep="\t", header=True, inferSchema=True)
         counts.append(max(v for r in metrics.collect() for v in r if isinstance(v, int)))
     assert counts == [150, 200]
+    summary = spark.read.csv(f"{tmp_path}/out/batch_summary", sep="\t", header=True, inferSchema=True).first()
+    assert (summary["n_total"], summary["n_success"], summary["n_timeout"]) == (200, 200, 0)
+    assert spark.read.csv(f"{tmp_path}/out/timeouts", sep="\t", header=True).count() == 0
 
 
 @pytest.fixture(scope="module")
