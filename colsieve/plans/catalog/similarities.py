@@ -273,7 +273,7 @@ W_RDC = projections(42, "rdc", 8, len(PART), 4)  # 4 repetitions of 2 draws
 @query(_dependence_ctes(W_FIXED) + "SELECT i, j, round(s, 6) AS s FROM blocks WHERE i < j")
 def dependence_fixed_weights(spark, folder):
     part = _part(spark, folder)
-    pairs = S.sine_dependence(part, PART, _knots(part, PART), W_FIXED, part.count())
+    pairs = S.sine_dependence(part, PART, _knots(part, PART), W_FIXED)
     return pairs.filter("i < j").select("i", "j", r6("s").alias("s"))
 
 
