@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from colsieve.config import load
 from colsieve.models import evaluate as E
 from colsieve.models import linear
-from colsieve.models.grid import Experiments
+from colsieve.models.grid import SIZES, Experiments
 from colsieve.models.prepare import by_cluster_size, fill_statistics, scale, with_blocks, with_folds, with_split
 from colsieve.plans.catalog.common import FEATURES, USABLE, features, features_sql, query, r6, table
 from colsieve.plans.catalog.graphs import LINKS_SQL, _sizes
@@ -275,8 +275,8 @@ def _embedded(spark, folder):
     return explode_vector(wide, "embedding", 64)
 
 
-def _experiments(spark, folder, sizes, models, **options):
-    runs = Experiments(_embedded(spark, folder), "label", ["vec_id"], DIMS, **options)
+def _experiments(spark, folder, models, sizes=SIZES):
+    runs = Experiments(_embedded(spark, folder), "label", ["vec_id"], DIMS)
     try:
         out = runs.run(sizes, models=models)
     finally:
@@ -288,31 +288,29 @@ def _experiments(spark, folder, sizes, models, **options):
 
 @query()
 def train_linear(spark, folder):
-    return _experiments(spark, folder, [5, 20, 50], linear.LINEAR_MODELS)
+    return _experiments(spark, folder, linear.LINEAR_MODELS, [5, 20, 50])
 
 
 @query()
 def train_trees(spark, folder):
-    small = {"numTrees": 10}
-    return _experiments(spark, folder, [10], ["RandomForest"], tree_options=small, folds=3)
+    return _experiments(spark, folder, ["RandomForest"])
 
 
 @query()
 def train_boosted(spark, folder):
-    return _experiments(spark, folder, [10], ["XGBoost"], tree_options={"maxIter": 5}, folds=2)
+    return _experiments(spark, folder, ["XGBoost"])
 
 
 @query()
 def train_gaussian_process(spark, folder):
-    return _experiments(spark, folder, [10], ["GPR"], folds=3)
+    return _experiments(spark, folder, ["GPR"])
 
 
 @query()
 def reduce_columns(spark, folder):
     """Passes 1 to 4 and the lineage on the planted columns."""
     out = f"{ensure_checkpoint_dir(spark)}/reduction-{uuid.uuid4().hex}"
-    config = load(env={}, io__output_dir=out, io__n_metadata=0, filtering__r=2, filtering__hsic_D=10,
-                  filtering__rdc_d=5, filtering__rdc_seeds=2)
+    config = load(env={}, io__output_dir=out, io__n_metadata=0)
     run = Reduction(spark, config, features(spark, folder, FEATURES))
     run.run()
     return run.lineage.select(

@@ -297,6 +297,22 @@ def rdc_like(spark, folder):
     return pairs.filter("i < j").select("i", "j", r6("s").alias("s"))
 
 
+# The two queries above are as small as their SQL; these run the operators' own sizes.
+
+@query()
+def hsic_like_defaults(spark, folder):
+    part = _part(spark, folder)
+    pairs = S.hsic_like(part, PART, _knots(part, PART))
+    return pairs.filter("i < j").select("i", "j", r6("s").alias("s"))
+
+
+@query()
+def rdc_like_defaults(spark, folder):
+    part = _part(spark, folder)
+    pairs = S.rdc_like(part, PART, _knots(part, PART))
+    return pairs.filter("i < j").select("i", "j", r6("s").alias("s"))
+
+
 @query("""
 SELECT p_partkey // 8 AS k, quantile_disc(p_retailprice * (p_partkey % 3), 0.5) AS mid FROM part GROUP BY 1
 """)
