@@ -23,6 +23,7 @@ CAP = 3
 SEED = 2718
 ROUNDS = 24
 PIECE_ROWS = 20_000  # rows whose positions one window adds up
+COPIES = 1000  # identical rows made by one task at a time
 
 
 def n_words(text: Column) -> Column:
@@ -76,22 +77,38 @@ def with_targets(sources: DataFrame, weights: tuple = WEIGHTS, cap: float = CAP)
     return placed.select("source", "source_size", "place", target.alias("target"))
 
 
+def _sized(docs: DataFrame) -> DataFrame:
+    """``(doc_id, source, size, digest, copies)``: identical rows once, with their number."""
+    text = F.col("text").cast("string")
+    return docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
+        n_words(text).alias("size"), F.xxhash64(text, text.isNull()).alias("digest"),
+    ).groupBy("doc_id", "source", "size", "digest").agg(F.count("*").alias("copies"))
+
+
 def _positions(sized: DataFrame, sources: DataFrame) -> DataFrame:
-    """Adds ``start``, a row's first token in its source's stream.
+    """One row per document row, with ``start``, its first token in its source's stream.
 
-    A source's rows are dealt to pieces of about ``PIECE_ROWS``; rows in a piece are added up by a
-    window, pieces by a smaller one.
+    A source's distinct rows are dealt by a hash to pieces of about ``PIECE_ROWS``; rows in a piece
+    follow doc_id, size and digest and are added up by a window, pieces by a smaller one. So places
+    depend on the rows alone, not on how they are stored. Identical rows lie side by side.
     """
     pieces = F.greatest(F.ceil(F.col("n_rows") / PIECE_ROWS), F.lit(1)).cast("int")
     dealt = sized.join(sources.select(F.col("source").alias("s"), "place", "n_rows"), F.col("source").eqNullSafe(F.col("s"))).drop(
-        "s").withColumn("piece", F.pmod(F.xxhash64("doc_id", "row"), pieces).cast("int"))
-    inside = Window.partitionBy("place", "piece").orderBy("doc_id", "row").rowsBetween(Window.unboundedPreceding, -1)
+        "s").withColumn("piece", F.pmod(F.xxhash64("doc_id", "size", "digest"), pieces).cast("int")).withColumn(
+        "held", F.col("size") * F.col("copies"))
+    inside = Window.partitionBy("place", "piece").orderBy("doc_id", "size", "digest").rowsBetween(Window.unboundedPreceding, -1)
     across = Window.partitionBy("place").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
-    before = dealt.groupBy("place", "piece").agg(F.sum("size").alias("total")).select(
+    before = dealt.groupBy("place", "piece").agg(F.sum("held").alias("total")).select(
         "place", "piece", F.coalesce(F.sum("total").over(across), F.lit(0)).alias("before"))
-    return dealt.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(
-        before, ["place", "piece"]
-    ).select("row", "doc_id", "source", "place", "size", (F.col("before") + F.col("inside")).alias("start"))
+    first = dealt.withColumn("inside", F.coalesce(F.sum("held").over(inside), F.lit(0))).join(
+        before, ["place", "piece"]).withColumn("first", F.col("before") + F.col("inside"))
+    # copies of a hot row are spread before they become rows of their own
+    chunks = first.withColumn("chunk", F.explode(F.sequence(
+        F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / COPIES)))).repartition("place", "first", "digest", "chunk")
+    return chunks.withColumn("copy", F.explode(F.sequence(
+        F.col("chunk") * COPIES, F.least((F.col("chunk") + 1) * COPIES, F.col("copies")) - 1))).select(
+        "doc_id", "source", "place", "size", "digest", "copy", (F.col("first") + F.col("copy") * F.col("size")).alias("start"))
 
 
 def slot_plan(targets: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -147,23 +164,24 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, cap: float = CAP, block: int
     times its size. A source of no words takes none. Null text has size 0; null is a source of its
     own, the last. Repeated rows are documents of their own. Other columns are ignored.
     """
-    sized = cut_lineage(docs.select(
-        F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
-        F.col("source").cast("string").alias("source"), n_words(F.col("text")).alias("size"),
-    ))
+    sized = cut_lineage(_sized(docs))
     sources = cut_lineage(sized.groupBy("source").agg(
-        F.sum("size").alias("source_size"), F.count("*").alias("n_rows")))
+        F.sum(F.col("size") * F.col("copies")).alias("source_size"), F.count("*").alias("n_rows")))
     targets = cut_lineage(with_targets(sources.select("source", "source_size"), weights, cap))
     same = F.col("source").eqNullSafe(F.col("s"))
     counted = sources.select(F.col("source").alias("s"), "n_rows").join(targets, same).drop("s")
     placed = cut_lineage(_positions(sized, counted))
     dealt = slots(slot_plan(targets, block), block)
     uses = dealt.groupBy("place", "block", "length").agg(F.count("*").alias("times"))
-    parts = placed.filter("size > 0").select("row", "place", "start", "size", F.explode(F.sequence(
+    parts = placed.filter("size > 0").select("place", "start", "size", F.explode(F.sequence(
         F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("size") - 1) / block))).alias("block"))
     begin = F.greatest(F.col("start"), F.col("block") * block)
     end = F.least(F.col("start") + F.col("size"), F.col("block") * block + F.col("length"))
-    taken = parts.join(uses, ["place", "block"]).groupBy("row").agg(
+    taken = parts.join(uses, ["place", "block"]).groupBy("place", "start").agg(
         F.sum(F.greatest(end - begin, F.lit(0)) * F.col("times")).alias("taken"))
-    return placed.join(targets.select("place", "source_size", "target"), "place").join(taken, "row", "left").select(
-        "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+    # rows with words have a start of their own; those without share it with others
+    filled = placed.filter("size > 0").join(taken, ["place", "start"], "left")
+    empty = placed.filter("size = 0").withColumn("taken", F.lit(0).cast("long"))
+    return filled.unionByName(empty, allowMissingColumns=True).join(
+        targets.select("place", "source_size", "target"), "place"
+    ).select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))

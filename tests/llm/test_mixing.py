@@ -74,3 +74,16 @@ def test_awkward_rows(spark, awkward, clashing, no_docs):
     assert mixing.mix(no_docs).count() == 0
     empty = mixing.mix(awkward.filter("doc_id IN (4, 5, 6)")).collect()
     assert [(r.size, r.source_size, r.target, r.taken) for r in empty] == [(0, 0, 0.0, 0)] * 3
+
+
+def test_large_sources_do_not_depend_on_partitions(spark, monkeypatch):
+    """Sources of many pieces, with a hot repeated row and repeated ids on different texts."""
+    monkeypatch.setattr(mixing, "PIECE_ROWS", 10)
+    monkeypatch.setattr(mixing, "COPIES", 7)
+    rows = [(k, "w " * (1 + k * 37 % 50), "ab"[k % 3 == 0]) for k in range(200)]
+    rows += [(5, "hot row here", "a")] * 60 + [(7, f"same id {'x ' * k}", "b") for k in range(20)] + [(None, "no id", None), (9, "", "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    outs = [sorted(map(tuple, mixing.mix(d, block=8).collect()), key=repr) for d in (
+        docs.coalesce(1), docs.repartition(7), docs.orderBy("text").repartition(3))]
+    assert outs[0] == outs[1] == outs[2] and len(outs[0]) == len(rows)
+    assert sum(r[1] for r in outs[0]) == sum(len(r[1].split()) for r in rows)
