@@ -6,7 +6,7 @@ as many more blocks as its target needs; the very last is cut to the token. All
 sources are dealt to the output shards by one more permutation, so the counts of sources per shard
 are multinomial draws given each source's total. A permutation is a swap-or-not shuffle: a chain of
 keyed involutions, computed for an index on its own, so nothing is sorted or gathered. Blocks,
-documents and slots meet by block index.
+documents and slots meet by block index, and the mixed shards hold the words of every slot.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ SEED = 2718
 ROUNDS = 24
 PIECE_ROWS = 20_000  # rows whose positions one window adds up
 COPIES = 1000  # identical rows made by one task at a time
+WORDS_AT_ONCE = 65_536  # words of identical rows whose uses lie in one list
 
 
 def n_words(text: Column) -> Column:
@@ -157,28 +158,69 @@ def shard_counts(placed: DataFrame) -> DataFrame:
     return placed.groupBy("shard", "place").agg(F.count("*").alias("n_slots"), F.sum("length").alias("tokens"))
 
 
-def mix(docs: DataFrame, weights: tuple = WEIGHTS, cap: float = CAP, block: int = BLOCK) -> DataFrame:
-    """``(doc_id, size, source_size, target, taken)``, one row per row of ``docs(doc_id, text, source)``.
-
-    ``taken`` counts the tokens of the document in the mix, repeats included: at most ``ceil(cap)``
-    times its size. A source of no words takes none. Null text has size 0; null is a source of its
-    own, the last. Repeated rows are documents of their own. Other columns are ignored.
-    """
+def placed_documents(docs: DataFrame, weights: tuple = WEIGHTS, cap: float = CAP) -> tuple[DataFrame, DataFrame]:
+    """Document rows with their place in their source's stream, and the sources with their targets."""
     sized = cut_lineage(_sized(docs))
     sources = cut_lineage(sized.groupBy("source").agg(
         F.sum(F.col("size") * F.col("copies")).alias("source_size"), F.count("*").alias("n_rows")))
     targets = cut_lineage(with_targets(sources.select("source", "source_size"), weights, cap))
     same = F.col("source").eqNullSafe(F.col("s"))
     counted = sources.select(F.col("source").alias("s"), "n_rows").join(targets, same).drop("s")
-    placed = cut_lineage(_positions(sized, counted))
+    return cut_lineage(_positions(sized, counted)), targets
+
+
+def _identity() -> list[Column]:
+    """Two hashes that tell document rows apart; equal rows share them."""
+    return [F.xxhash64("source", F.col("source").isNull(), "doc_id", F.col("doc_id").isNull(), "size").alias("id"), F.col("digest")]
+
+
+def mixed_shards(docs: DataFrame, placed: DataFrame, targets: DataFrame, block: int = BLOCK) -> DataFrame:
+    """The mix itself: ``(shard, slot, place, block, doc_id, start, from, to, words)``.
+
+    A slot holds one block of a source's stream, in rows of one document each: words ``from`` up to
+    ``to`` of the document that starts at ``start``, in the order of these; ``words`` is their text,
+    single spaces between. Slots meet documents by block first; texts move once to their uses and
+    once to their shard.
+    """
     dealt = slots(slot_plan(targets, block), block)
-    uses = dealt.groupBy("place", "block", "length").agg(F.count("*").alias("times"))
-    parts = placed.filter("size > 0").select("place", "start", "size", F.explode(F.sequence(
+    parts = placed.filter("size > 0").select(*_identity(), "doc_id", "place", "start", "size", "copy", F.explode(F.sequence(
         F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("size") - 1) / block))).alias("block"))
-    begin = F.greatest(F.col("start"), F.col("block") * block)
-    end = F.least(F.col("start") + F.col("size"), F.col("block") * block + F.col("length"))
-    taken = parts.join(uses, ["place", "block"]).groupBy("place", "start").agg(
-        F.sum(F.greatest(end - begin, F.lit(0)) * F.col("times")).alias("taken"))
+    begin = F.greatest(F.col("start"), F.col("block") * block) - F.col("start")
+    end = F.least(F.col("start") + F.col("size"), F.col("block") * block + F.col("length")) - F.col("start")
+    used = parts.join(dealt, ["place", "block"]).withColumn("from", begin).withColumn("to", end).filter("to > from")
+    # one list for copies of WORDS_AT_ONCE words together, so their text is cut into words once
+    uses = used.groupBy("id", "digest", "doc_id", "place", F.floor(F.col("copy") * F.col("size") / WORDS_AT_ONCE).alias("group")).agg(
+        F.collect_list(F.struct("shard", "slot", "block", "start", "from", "to")).alias("uses"))
+    text = F.col("text").cast("string")
+    texts = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
+        n_words(text).alias("size"), F.xxhash64(text, text.isNull()).alias("digest"), text.alias("text"),
+    ).filter("size > 0").select(*_identity(), "text").groupBy("id", "digest").agg(F.first("text").alias("text"))
+
+    def cut(words: Column) -> Column:
+        return F.transform("uses", lambda u: F.struct(
+            *[u[n].alias(n) for n in ("shard", "slot", "block", "start", "from", "to")],
+            F.array_join(F.slice(words, (u["from"] + 1).cast("int"), (u["to"] - u["from"]).cast("int")), " ").alias("words")))
+
+    # the words are a lambda's argument: a plain column would be computed again for every use
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    rows = F.flatten(F.transform(F.array(words), cut))
+    return uses.join(texts, ["id", "digest"]).select("place", "doc_id", F.explode(rows).alias("x")).select(
+        "x.shard", "x.slot", "place", "x.block", "doc_id", "x.start", "x.from", "x.to", "x.words"
+    ).repartition("shard").sortWithinPartitions("shard", "slot", "start")
+
+
+def mix(docs: DataFrame, weights: tuple = WEIGHTS, cap: float = CAP, block: int = BLOCK) -> DataFrame:
+    """``(doc_id, size, source_size, target, taken)``, one row per row of ``docs(doc_id, text, source)``.
+
+    The mixed shards are written, and ``taken`` counts the tokens of the document in them, repeats
+    included: at most ``ceil(cap)`` times its size. A source of no words takes none. Null text has
+    size 0; null is a source of its own, the last. Repeated rows are documents of their own. Other
+    columns are ignored.
+    """
+    placed, targets = placed_documents(docs, weights, cap)
+    mixed = cut_lineage(mixed_shards(docs, placed, targets, block))
+    taken = mixed.groupBy("place", "start").agg(F.sum(F.col("to") - F.col("from")).alias("taken"))
     # rows with words have a start of their own; those without share it with others
     filled = placed.filter("size > 0").join(taken, ["place", "start"], "left")
     empty = placed.filter("size = 0").withColumn("taken", F.lit(0).cast("long"))

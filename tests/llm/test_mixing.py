@@ -87,3 +87,34 @@ def test_large_sources_do_not_depend_on_partitions(spark, monkeypatch):
         docs.coalesce(1), docs.repartition(7), docs.orderBy("text").repartition(3))]
     assert outs[0] == outs[1] == outs[2] and len(outs[0]) == len(rows)
     assert sum(r[1] for r in outs[0]) == sum(len(r[1].split()) for r in rows)
+
+
+def test_shards_hold_the_words_of_their_slots(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SHARD_SLOTS", 4)
+    monkeypatch.setattr(mixing.slots, "__defaults__", (mixing.BLOCK, 4))
+    rows = [(k, " \n".join(f"d{k}w{i}" for i in range(1 + k * 13 % 40)), "ab"[k % 3 == 0]) for k in range(60)]
+    rows += [(5, "same row\tthree", "b")] * 9 + [(5, "other text", "b"), (None, "no id", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    placed, targets = mixing.placed_documents(docs)
+    out = mixing.mixed_shards(docs, placed, targets, 16).collect()
+    streams = {}
+    texts = {(d, len(t.split()), s): t.split() for d, t, s in rows}
+    for r in placed.collect():
+        for i, w in enumerate(texts[r.doc_id, r.size, r.source]):
+            streams.setdefault(r.place, {})[r.start + i] = w
+    want = {(r.shard, r.slot): [streams[r.place][r.block * 16 + i] for i in range(r.length)]
+            for r in mixing.slots(mixing.slot_plan(targets, 16), 16).collect()}
+    got = {}
+    for r in sorted(out, key=lambda r: (r.shard, r.slot, r.start)):
+        assert len(r.words.split()) == r.to - r["from"]
+        got.setdefault((r.shard, r.slot), []).extend(r.words.split())
+    assert got == want and len({s for s, _ in got}) > 3
+
+
+def test_taken_comes_from_the_written_shards(spark, small, monkeypatch):
+    """Without its first shard, the mix takes less."""
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    whole = sum(r.taken for r in mixing.mix(docs, block=1).collect())
+    shards = mixing.mixed_shards
+    monkeypatch.setattr(mixing, "mixed_shards", lambda *a: shards(*a).filter("shard > 0"))
+    assert sum(r.taken for r in mixing.mix(docs, block=1).collect()) == whole - mixing.SHARD_SLOTS
