@@ -50,13 +50,13 @@ _TOKEN = re.compile(
 _ATTRIBUTE = re.compile(r"(class|id|role|data-main)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _SPACE = re.compile(r"[\x20\x09-\x0D]+")
 _NAMES = re.compile(r"[a-z]+")
-MOST_DEPTH = 200
+MARK = 64  # every so many open elements, what lies around one is kept
 
 
 @dataclass
 class Block:
     text: str
-    tags: tuple[str, ...]
+    tags: tuple[str, ...]  # distinct tags around it, by their innermost element
     names: frozenset[str]
     label: int | None
     links: int  # characters inside links
@@ -67,14 +67,20 @@ class Block:
 class _Open:
     tag: str
     names: frozenset[str] = frozenset()
-    label: int | None = None
+    label: int | None = None  # its own or that of the next labelled one around it
+    around: tuple[tuple[str, ...], frozenset[str]] | None = None
 
 
 @dataclass
 class _Page:
-    """State of the cut: open elements and the text since the last block border."""
+    """State of the cut: open elements and the text since the last block border.
+
+    Elements are looked up by tag and a block starts from the nearest mark, so both cost the same at
+    any depth.
+    """
 
     stack: list[_Open] = field(default_factory=list)
+    places: defaultdict[str, list[int]] = field(default_factory=lambda: defaultdict(list))
     pieces: list[str] = field(default_factory=list)
     blocks: list[Block] = field(default_factory=list)
     links: int = 0
@@ -85,19 +91,43 @@ class _Page:
             return
         text = _SPACE.sub(" ", "".join(self.pieces)).strip(" ")
         if text:
-            names = frozenset().union(*(o.names for o in self.stack))
-            label = next((o.label for o in reversed(self.stack) if o.label is not None), None)
-            self.blocks.append(Block(text, tuple(o.tag for o in self.stack), names, label, self.links, self.path))
+            label = self.stack[-1].label if self.stack else None
+            self.blocks.append(Block(text, *self.around(), label, self.links, self.path))
         self.pieces, self.links = [], 0
 
+    def around(self) -> tuple[tuple[str, ...], frozenset[str]]:
+        """Tags and names of all open elements."""
+        first = len(self.stack)
+        while first and self.stack[first - 1].around is None:
+            first -= 1
+        known, named = self.stack[first - 1].around if first else ((), frozenset())
+        tags, names = dict.fromkeys(known), set(named)
+        for k in range(first, len(self.stack)):
+            element = self.stack[k]
+            tags.pop(element.tag, None)
+            tags[element.tag] = None
+            names |= element.names
+            if k % MARK == 0:
+                element.around = tuple(tags), frozenset(names)
+        return tuple(tags), frozenset(names)
+
+    def open(self, tag: str, names: frozenset[str], label: int | None) -> None:
+        if label is None and self.stack:
+            label = self.stack[-1].label
+        self.places[tag].append(len(self.stack))
+        self.stack.append(_Open(tag, names, label))
+
+    def last(self, tag: str) -> int:
+        return self.places[tag][-1] if self.places.get(tag) else -1
+
     def close(self, tag: str, within: set[str] | None = None) -> None:
-        for k in range(len(self.stack) - 1, -1, -1):
-            if self.stack[k].tag == tag:
-                del self.stack[k:]
-                self.path += 1
-                return
-            if within and self.stack[k].tag in within:
-                return
+        k = self.last(tag)
+        if k < 0 or (within and max(map(self.last, within)) > k):
+            return
+        for element in self.stack[k:]:
+            self.places[element.tag].pop()
+        del self.stack[k:]
+        self.path += 1
 
 
 def _attributes(text: str) -> tuple[frozenset[str], int | None]:
@@ -119,7 +149,7 @@ def blocks_of(source: str) -> list[Block]:
         text = found["text"]
         if text is not None:
             page.pieces.append(html.unescape(text))
-            if any(o.tag == "a" for o in page.stack[-4:]):
+            if page.places.get("a"):
                 page.links += len(text)
             continue
         hidden = found["hidden"]
@@ -144,10 +174,10 @@ def blocks_of(source: str) -> list[Block]:
             if tag in _SELF_CLOSING:
                 page.close(tag, _SELF_CLOSING[tag])
             page.path += 1
-        if tag not in VOID and len(page.stack) < MOST_DEPTH:
+        if tag not in VOID:
             attributes = found["attributes"] or found["attributes2"] or ""
             names, label = _attributes(attributes) if "=" in attributes else (frozenset(), None)
-            page.stack.append(_Open(tag, names, label))
+            page.open(tag, names, label)
     page.flush()
     return page.blocks
 
@@ -167,7 +197,7 @@ def features(blocks: list[Block]) -> list[list[str]]:
         own = [
             "one", length, link, stops, f"parent={outer[-1] if outer else ''}",
             f"place{_bucket(k / len(blocks), (0.1, 0.25, 0.75, 0.9))}", f"{length}{link}",
-            f"digits{_bucket(sum(c.isdigit() for c in text[:400]) / min(len(text), 400), (0.02, 0.1, 0.3))}",
+            f"digits{_bucket(sum(map(str.isdigit, text)) / len(text), (0.02, 0.1, 0.3))}",
             "sentence" if text[-1] in ".!?:\"'”»)" else "open", "upper" if text[0].isupper() else "lower",
         ]
         if "©" in text or "®" in text:

@@ -94,3 +94,23 @@ def test_awkward_rows(spark, trained):
     assert all(r.text.endswith("number 19999 is here.") for r in out if r.page_id == 3)
     assert H.extract(spark.createDataFrame([], PAGES)).count() == 0
     assert H.extract(frame).count() == 6  # trained on these few alone
+
+
+@pytest.mark.parametrize("inside", ["<div>" * 250 + "deep" + "</div>" * 250, "<b>" * 250 + "deep<div>x</div>"])
+def test_elements_of_any_depth_are_seen(inside):
+    blocks = H.blocks_of(f"<div><article class=story>{inside}<p>later</article><footer>out")
+    assert [H.by_semantic_tags([b])[0] for b in blocks if b.text in ("deep", "later", "out")] == [1, 1, 0]
+    nested = H.blocks_of("<article>" + "<div>" * 300 + "<nav class=menu data-main=0>links</nav>rest")
+    assert [(H.by_semantic_tags([b])[0], "menu" in b.names, b.label) for b in nested] == [(0, True, 0), (1, False, None)]
+
+
+def test_deep_pages_take_linear_time():
+    source = "<b>" * 50_000 + "<h1>x</h1></i>" * 50_000 + "<div>y" * 20_000
+    blocks = H.blocks_of(source)
+    assert len(blocks) == 70_000 and blocks[-1].tags == ("b", "div")
+
+
+def test_digits_and_links_count_over_the_whole_block():
+    block = H.blocks_of("<p>" + "a" * 400 + "1" * 400 + "<a href=x><b><i><u><em>link text</em></u></i></b></a>")[0]
+    assert block.links == len("link text")
+    assert "digits3" in H.features([block])[0]
