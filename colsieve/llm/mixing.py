@@ -11,10 +11,12 @@ documents and slots meet by block index, and the mixed shards hold the words of
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from colsieve.llm.store import cut_lineage
+from colsieve.llm.store import cut_lineage, ensure_checkpoint_dir
 
 BLOCK = 256
 SHARD_SLOTS = 4096
@@ -219,7 +221,9 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, cap: float = CAP, block: int
     columns are ignored.
     """
     placed, targets = placed_documents(docs, weights, cap)
-    mixed = cut_lineage(mixed_shards(docs, placed, targets, block))
+    path = f"{ensure_checkpoint_dir(docs.sparkSession)}/mixed-{uuid.uuid4().hex}"
+    mixed_shards(docs, placed, targets, block).write.option("compression", "zstd").parquet(path)
+    mixed = docs.sparkSession.read.parquet(path)
     taken = mixed.groupBy("place", "start").agg(F.sum(F.col("to") - F.col("from")).alias("taken"))
     # rows with words have a start of their own; those without share it with others
     filled = placed.filter("size > 0").join(taken, ["place", "start"], "left")
