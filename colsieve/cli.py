@@ -154,7 +154,10 @@ def save_plot_data(runs: Experiments, results, folder: str) -> None:
     sizes = sorted({r["n_descriptors"] for r in runs.results})
     sinks.write_table(best_per_model(results), f"{folder}/plot_model_scores", "csv")
     sinks.write_table(score_matrix(results, sizes), f"{folder}/plot_score_matrix", "csv")
-    top = max(runs.results, key=lambda r: r["holdout_r2"])
+    scored = [r for r in runs.results if r.get("error") is None and r["holdout_r2"] is not None]
+    if not scored:
+        return
+    top = max(scored, key=lambda r: r["holdout_r2"])
     chosen = results.filter(
         (F.col("model_name") == top["model_name"]) & (F.col("n_descriptors") == top["n_descriptors"])
     )

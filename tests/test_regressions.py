@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from colsieve import config
 from colsieve.functions.text import to_number
 from colsieve.models import evaluate
-from colsieve.models.ensembles import tree_model
+from colsieve.models.ensembles import forest
+from colsieve.models.trees import SPECS
 from colsieve.models.grid import Experiments
 from colsieve.operators import sampling
 from colsieve.operators.featurize import apply_guarded
@@ -91,8 +92,8 @@ def test_best_per_model_puts_the_best_first(spark):
 
 
 def test_extra_trees_keep_their_feature_subsets():
-    assert tree_model("ExtraTrees", regularised=True).getFeatureSubsetStrategy() == "sqrt"
-    assert tree_model("ExtraTrees").getFeatureSubsetStrategy() == "onethird"
+    assert SPECS["ExtraTrees", True].node_columns == "sqrt" and SPECS["ExtraTrees", False].node_columns == "all"
+    assert forest(regularised=True).getFeatureSubsetStrategy() == "sqrt"
 
 
 def test_time_limit_reaches_through_functions_that_catch_exceptions(spark):

@@ -96,3 +96,28 @@ def test_command_line(spark, wide, tmp_path, capsys, monkeypatch):
     assert table.count() == 150 and table.columns[:2] == ["CID", "isomeric_smiles"]
     assert cli.main(["preprocess", "schema", "--input", str(tmp_path / "d"), "--output", str(tmp_path / "s.json")]) == 0
     assert json.loads((tmp_path / "s.json").read_text())[0] == "CID"
+
+
+def test_a_failed_experiment_leaves_the_charts(spark, wide, tmp_path, capsys, monkeypatch):
+    monkeypatch.setattr(cli, "build_session", lambda: spark)
+
+    def broken(self, plans):
+        raise ValueError("no trees today")
+
+    monkeypatch.setattr(Experiments, "_grown", broken)
+    out = str(tmp_path / "m")
+    args = ["train", "--input", wide, "--target-col", "f6", "--key", "id", "--output-dir", out,
+            "--descriptor-sizes", "2", "--models", "XGBoost,Ridge", "--cv-folds", "3"]
+    assert cli.main(args) == 0
+    results = sinks.read_document(spark, f"{out}/ml_results.json")
+    assert {r["model_name"]: "no trees today" in (r.get("error") or "") for r in results} == {"XGBoost": True, "Ridge": False}
+    assert spark.read.csv(f"{out}/plot_predictions", header=True).count() > 0
+
+
+def test_a_folder_without_its_mark_is_made_again(spark, tmp_path):
+    path = tmp_path / "t"
+    spark.range(3).write.parquet(str(path))
+    assert sinks.read_saved(spark, str(path)).count() == 3
+    (path / "_SUCCESS").unlink()
+    assert sinks.read_saved(spark, str(path)) is None and sinks.read_saved(spark, str(tmp_path / "none")) is None
+    assert sinks.saved(spark, str(path), lambda: spark.range(5)).count() == 5
