@@ -11,6 +11,7 @@ documents and slots meet by block index, and the mixed shards hold the words of
 
 from __future__ import annotations
 
+import math
 import uuid
 
 from pyspark.sql import Column, DataFrame, Window
@@ -26,6 +27,7 @@ SEED = 2718
 ROUNDS = 24
 PIECE_ROWS = 20_000  # rows whose positions one window adds up
 COPIES = 1000  # identical rows made by one task at a time
+BITS_PER_TEXT, MOST_BITS = 16, 1 << 27  # of the bitmap of used texts; a fuller one only lets more texts pass
 WORDS_AT_ONCE = 65_536  # words of identical rows whose uses lie in one list
 
 
@@ -176,13 +178,35 @@ def _identity() -> list[Column]:
     return [F.xxhash64("source", F.col("source").isNull(), "doc_id", F.col("doc_id").isNull(), "size").alias("id"), F.col("digest")]
 
 
+def _written(df: DataFrame, stem: str) -> DataFrame:
+    """The table, written with zstd and read back."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/{stem}-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _may_be_among(hashed: DataFrame, key: str) -> Column:
+    """Whether column ``key`` may be one of the hashes: a test of one bit in a bitmap of bounded size.
+
+    The bitmap is one row of a bounded number of words, put together by Spark; it never says no wrongly.
+    """
+    asked = max(1, hashed.count()) * BITS_PER_TEXT
+    bits = 1 << min(int(math.log2(MOST_BITS)), max(6, math.ceil(math.log2(asked))))
+    word = f"shiftright({key} & {bits - 1}L, 6)"
+    one = f"shiftleft(1L, cast({key} & 63 as int))"
+    every = hashed.sparkSession.range(bits // 64).select(F.col("id").alias("word"), F.lit(0).cast("long").alias("one"))
+    words = hashed.select(F.expr(word).alias("word"), F.expr(one).alias("one")).unionByName(every).groupBy("word").agg(F.bit_or("one").alias("one"))
+    bitmap = words.agg(F.transform(F.sort_array(F.collect_list(F.struct("word", "one"))), lambda w: w["one"]).alias("bits"))
+    return F.element_at(bitmap.scalar(), (F.expr(word) + 1).cast("int")).bitwiseAND(F.expr(one)) != 0
+
+
 def mixed_shards(docs: DataFrame, placed: DataFrame, targets: DataFrame, block: int = BLOCK) -> DataFrame:
     """The mix itself: ``(shard, slot, place, block, doc_id, start, from, to, words)``.
 
     A slot holds one block of a source's stream, in rows of one document each: words ``from`` up to
     ``to`` of the document that starts at ``start``, in the order of these; ``words`` is their text,
     single spaces between. Slots meet documents by block first; texts move once to their uses and
-    once to their shard.
+    once to their shard; texts without a use stay where they are.
     """
     dealt = slots(slot_plan(targets, block), block)
     parts = placed.filter("size > 0").select(*_identity(), "doc_id", "place", "start", "size", "copy", F.explode(F.sequence(
@@ -191,18 +215,20 @@ def mixed_shards(docs: DataFrame, placed: DataFrame, targets: DataFrame, block:
     end = F.least(F.col("start") + F.col("size"), F.col("block") * block + F.col("length")) - F.col("start")
     used = parts.join(dealt, ["place", "block"]).withColumn("from", begin).withColumn("to", end).filter("to > from")
     # one list for copies of WORDS_AT_ONCE words together, so their text is cut into words once
-    uses = used.groupBy("id", "digest", "doc_id", "place", F.floor(F.col("copy") * F.col("size") / WORDS_AT_ONCE).alias("group")).agg(
-        F.collect_list(F.struct("shard", "slot", "block", "start", "from", "to")).alias("uses"))
+    uses = _written(used.groupBy("id", "digest", "doc_id", "place", F.floor(F.col("copy") * F.col("size") / WORDS_AT_ONCE).alias("group")).agg(
+        F.collect_list(F.struct("shard", F.col("slot").cast("int").alias("slot"), "block", "start", F.col("from").cast("int").alias("from"),
+                                F.col("to").cast("int").alias("to"))).alias("uses")), "uses")
     text = F.col("text").cast("string")
+    # a text that no slot uses isn't moved
     texts = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
-        n_words(text).alias("size"), F.xxhash64(text, text.isNull()).alias("digest"), text.alias("text"),
-    ).filter("size > 0").select(*_identity(), "text").groupBy("id", "digest").agg(F.first("text").alias("text"))
+        F.xxhash64(text, text.isNull()).alias("digest"), text.alias("text"),
+    ).filter(_may_be_among(uses.select("digest"), "digest")).withColumn("size", n_words(F.col("text"))).filter("size > 0").select(*_identity(), "text").groupBy("id", "digest").agg(F.first("text").alias("text"))
 
     def cut(words: Column) -> Column:
         return F.transform("uses", lambda u: F.struct(
             *[u[n].alias(n) for n in ("shard", "slot", "block", "start", "from", "to")],
-            F.array_join(F.slice(words, (u["from"] + 1).cast("int"), (u["to"] - u["from"]).cast("int")), " ").alias("words")))
+            F.array_join(F.slice(words, u["from"] + 1, u["to"] - u["from"]), " ").alias("words")))
 
     # the words are a lambda's argument: a plain column would be computed again for every use
     words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
