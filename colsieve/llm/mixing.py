@@ -248,7 +248,8 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, cap: float = CAP, block: int
     """
     placed, targets = placed_documents(docs, weights, cap)
     path = f"{ensure_checkpoint_dir(docs.sparkSession)}/mixed-{uuid.uuid4().hex}"
-    mixed_shards(docs, placed, targets, block).write.option("compression", "zstd").parquet(path)
+    mixed_shards(docs, placed, targets, block).write.option("compression", "zstd").option(
+        "parquet.compression.codec.zstd.level", "6").parquet(path)
     mixed = docs.sparkSession.read.parquet(path)
     taken = mixed.groupBy("place", "start").agg(F.sum(F.col("to") - F.col("from")).alias("taken"))
     # rows with words have a start of their own; those without share it with others
