@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from colsieve.functions.ranking import with_slices
+from colsieve.operators.selection import quantile_rows
 from colsieve.session import cut_lineage
 
 # Smallest range used as a divisor, and the CDF table resolution.
@@ -15,10 +16,9 @@ RANGE_EPS = 1e-6
 CDF_POINTS = 1000
 
 COLUMNS_PER_JOB = 64
-# Rows of a slice that one task orders, slices at least, and split points held per job.
+# Rows of a slice that one task orders, and slices at least.
 SLICE_ROWS = 1_000_000
 LEAST_SLICES = 64
-SPLIT_POINTS = 1 << 21
 
 
 def cdf_probs(points: int = CDF_POINTS) -> list[float]:
@@ -63,9 +63,9 @@ def quantiles(
 ) -> DataFrame:
     """Linearly interpolated quantiles as ``(col, q array<double>)``.
 
-    ``exact`` counts the values of many fine slices of each column and shuffles only the slices
-    that hold a wanted rank, in the same way at any number of rows. ``sketch`` trades exactness
-    (rank error 1e-4) for a single scan.
+    ``exact`` narrows down the wanted ranks by counts in a few scans, in the same way at any number
+    of rows (``operators.selection``). ``sketch`` trades exactness (rank error 1e-4) for a single
+    scan. ``n_rows`` isn't needed any more.
     """
     if strategy == "sketch":
         def fields(c: Column):
@@ -74,9 +74,7 @@ def quantiles(
         return _union([_per_column(df, b, fields) for b in _batches(columns, COLUMNS_PER_JOB)])
     if strategy != "exact":
         raise ValueError(f"unknown strategy {strategy!r}")
-    count = _slice_count(df.count() if n_rows is None else n_rows, len(probs))
-    width = max(1, min(COLUMNS_PER_JOB, SPLIT_POINTS // count))
-    return _union([_rank_quantiles(df, b, probs, count) for b in _batches(columns, width)])
+    return _union([quantile_rows(df, b, probs) for b in _batches(columns, COLUMNS_PER_JOB)])
 
 
 def measures(
@@ -126,51 +124,6 @@ def average_ranks(df: DataFrame, columns: list[str]) -> DataFrame:
     return spans.select("pos", "value", rank.alias("rank"))
 
 
-def _rank_quantiles(df: DataFrame, columns: list[str], probs: list[float], count: int) -> DataFrame:
-    long, placed = _long_slices(df, columns, count)
-    wanted = F.array(*[F.lit(float(p)) for p in probs])
-    near = F.transform(wanted, lambda p: F.array(
-        F.floor(p * (F.col("n_valid") - 1)), F.ceil(p * (F.col("n_valid") - 1))))
-    ranks = placed.groupBy("pos").agg(F.first("n_valid").alias("n_valid")).select(
-        "pos", F.explode(F.array_distinct(F.flatten(near))).alias("at"))
-    # Slices and ranks in one order: the slice that starts last before a rank holds it.
-    events = placed.select("pos", F.col("first").alias("at"), "slice").unionByName(ranks, allowMissingColumns=True)
-    upto_here = Window.partitionBy("pos").orderBy("at", F.col("slice").asc_nulls_last())
-    targets = cut_lineage(events.select(
-        "pos", F.col("at").alias("rank"), F.col("slice").isNull().alias("asked"),
-        F.last("slice", ignorenulls=True).over(upto_here).alias("slice"),
-        F.last(F.when(F.col("slice").isNotNull(), F.col("at")), ignorenulls=True).over(upto_here).alias("first"),
-    ).filter("asked").drop("asked"))
-
-    # Only slices that hold a wanted rank go on; equal values collapse before the shuffle.
-    counts = (
-        long.join(targets.select("pos", "slice").distinct(), ["pos", "slice"], "left_semi")
-        .groupBy("pos", "slice", "value")
-        .agg(F.count("*").alias("k"))
-    )
-    inside = Window.partitionBy("pos", "slice").orderBy("value")
-    spans = counts.withColumn("upto", F.sum("k").over(inside)).alias("s")
-    t = targets.alias("t")
-    found = spans.join(t, (F.col("s.pos") == F.col("t.pos")) & (F.col("s.slice") == F.col("t.slice")) & (
-        F.col("t.rank") - F.col("t.first") >= F.col("upto") - F.col("k")) & (
-        F.col("t.rank") - F.col("t.first") < F.col("upto"))).select("s.pos", "t.rank", "s.value")
-    # At most two order statistics per requested probability and column from here on.
-    table = found.groupBy("pos").agg(
-        F.map_from_entries(F.collect_list(F.struct("rank", "value"))).alias("at")
-    ).join(placed.select("pos", "n_valid").distinct(), "pos")
-
-    def interpolate(p):
-        place = p * (F.col("n_valid") - 1)
-        low, high = F.element_at("at", F.floor(place)), F.element_at("at", F.ceil(place))
-        share = place - F.floor(place)
-        return F.least(low + share * (high - low), high)  # never above the next knot
-
-    named = F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("pos") + 1)
-    filled = table.select(named.alias("col"), F.transform(wanted, interpolate).alias("q"))
-    every = df.sparkSession.createDataFrame([(c,) for c in columns], "col string")
-    return every.join(F.broadcast(filled), "col", "left")
-
-
 def cdf_tables(
     df: DataFrame, columns: list[str], points: int = CDF_POINTS, strategy: str = "exact",
     n_rows: int | None = None,

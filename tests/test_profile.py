@@ -38,7 +38,7 @@ def test_quantiles_equal_numpy(awkward, monkeypatch, slice_rows):
 
 def test_columns_of_one_job_do_not_matter(awkward, monkeypatch):
     one = {r["col"]: r for r in P.profile(awkward, awkward.columns).collect()}
-    monkeypatch.setattr(P, "SPLIT_POINTS", 1)
+    monkeypatch.setattr(P, "COLUMNS_PER_JOB", 1)
     two = {r["col"]: r for r in P.profile(awkward, awkward.columns).collect()}
     assert one == two and set(one) == set(awkward.columns)
 
