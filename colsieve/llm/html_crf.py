@@ -53,6 +53,48 @@ _NAMES = re.compile(r"[a-z]+")
 MARK = 64  # every so many open elements, what lies around one is kept
 
 
+# fixed values: what layouts in use call their parts
+CONTENT_NAMES = ("article", "post", "entry", "content", "post-content", "article-body", "story", "main", "text", "page-content")
+OTHER_NAMES = {
+    "menu": ("nav", "menu", "navbar", "breadcrumb", "pagination", "toc", "tabs"),
+    "header": ("header", "masthead", "topbar", "branding", "site-header"),
+    "footer": ("footer", "site-footer", "copyright", "legal", "colophon"),
+    "sidebar": ("sidebar", "widget", "related", "recommended", "trending", "rail"),
+    "notice": ("cookie", "notice", "banner", "alert", "consent", "popup", "modal"),
+    "advert": ("ad", "ads", "advert", "sponsored", "promo", "advertisement"),
+    "form": ("form", "newsletter", "subscribe", "search", "login", "signup"),
+    "comments": ("comments", "comment-list", "comment", "discussion", "replies", "disqus"),
+    "share": ("share", "social", "tags", "author-bio", "meta"),
+}
+OTHER_TAGS = {"menu": "nav", "header": "header", "footer": "footer", "sidebar": "aside", "notice": "div", "advert": "div",
+              "form": "form", "comments": "section", "share": "ul"}
+_OUTSIDE = frozenset("nav header footer aside form head title menu button select dialog".split())
+#: Always set apart, even around an article; headers and forms may hold a whole page.
+_APART = frozenset("nav footer aside head title menu button select dialog".split())
+COMMENT_NAMES = frozenset(OTHER_NAMES["comments"])
+APART_NAMES = frozenset(name for kind in ("menu", "sidebar", "advert", "comments") for name in OTHER_NAMES[kind])
+
+
+#: Where a block lies by all open elements: in no article, in one, or in something set apart.
+OUTSIDE, INSIDE, IN_ARTICLE, APART = range(4)
+
+
+def zone_of(zone: int, tag: str, names: frozenset[str] = frozenset()) -> int:
+    """The zone inside an element of the zone around it.
+
+    An article may lie in ``main``, but one in another article is a comment or a card. Menus,
+    footers and sidebars are set apart, with all that is in them, and so is what bears their names in
+    an article or ``main``; outside, such names may stand on a frame around the whole page.
+    """
+    if zone == APART or tag in _APART or names & (APART_NAMES if zone else COMMENT_NAMES):
+        return APART
+    if tag == "article":
+        return APART if zone == IN_ARTICLE else IN_ARTICLE
+    if tag == "main":
+        return max(zone, INSIDE)
+    return APART if zone and tag in _OUTSIDE else zone
+
+
 @dataclass
 class Block:
     text: str
@@ -61,6 +103,8 @@ class Block:
     label: int | None
     links: int  # characters inside links
     path: int  # changes when the parent does
+    zone: int = OUTSIDE  # by the tags around it
+    named: int = OUTSIDE  # by their tags and names
 
 
 @dataclass
@@ -69,6 +113,8 @@ class _Open:
     names: frozenset[str] = frozenset()
     label: int | None = None  # its own or that of the next labelled one around it
     around: tuple[tuple[str, ...], frozenset[str]] | None = None
+    zone: int = OUTSIDE
+    named: int = OUTSIDE
 
 
 @dataclass
@@ -91,8 +137,8 @@ class _Page:
             return
         text = _SPACE.sub(" ", "".join(self.pieces)).strip(" ")
         if text:
-            label = self.stack[-1].label if self.stack else None
-            self.blocks.append(Block(text, *self.around(), label, self.links, self.path))
+            top = self.stack[-1] if self.stack else _Open("")
+            self.blocks.append(Block(text, *self.around(), top.label, self.links, self.path, top.zone, top.named))
         self.pieces, self.links = [], 0
 
     def around(self) -> tuple[tuple[str, ...], frozenset[str]]:
@@ -115,7 +161,8 @@ class _Page:
         if label is None and self.stack:
             label = self.stack[-1].label
         self.places[tag].append(len(self.stack))
-        self.stack.append(_Open(tag, names, label))
+        over = self.stack[-1] if self.stack else _Open("")
+        self.stack.append(_Open(tag, names, label, None, zone_of(over.zone, tag), zone_of(over.named, tag, names)))
 
     def last(self, tag: str) -> int:
         return self.places[tag][-1] if self.places.get(tag) else -1
@@ -154,7 +201,8 @@ def blocks_of(source: str) -> list[Block]:
             continue
         hidden = found["hidden"]
         if hidden:
-            if not found[0].endswith("/>"):
+            # a slash ends drawings and formulas only
+            if not (found[0].endswith("/>") and hidden.lower() in ("svg", "math")):
                 ending = re.compile(rf"</{hidden}\b[^>]*>|\Z", re.I).search(source, at)
                 at = ending.end()
             continue
@@ -204,6 +252,8 @@ def features(blocks: list[Block]) -> list[list[str]]:
             own.append("mark")
         if "|" in text or "·" in text or "»" in text:
             own.append("bar")
+        if block.zone == APART:
+            own.append("apart")
         own += [f"in={t}" for t in set(block.tags)]
         own += [f"name={n}" for n in block.names]
         out.append(own)
@@ -290,31 +340,9 @@ def train(pages: list[list[Block]]) -> Field:
     return model
 
 
-# fixed values: what layouts in use call their parts
-CONTENT_NAMES = ("article", "post", "entry", "content", "post-content", "article-body", "story", "main", "text", "page-content")
-OTHER_NAMES = {
-    "menu": ("nav", "menu", "navbar", "breadcrumb", "pagination", "toc", "tabs"),
-    "header": ("header", "masthead", "topbar", "branding", "site-header"),
-    "footer": ("footer", "site-footer", "copyright", "legal", "colophon"),
-    "sidebar": ("sidebar", "widget", "related", "recommended", "trending", "rail"),
-    "notice": ("cookie", "notice", "banner", "alert", "consent", "popup", "modal"),
-    "advert": ("ad", "ads", "advert", "sponsored", "promo", "advertisement"),
-    "form": ("form", "newsletter", "subscribe", "search", "login", "signup"),
-    "comments": ("comments", "comment-list", "comment", "discussion", "replies", "disqus"),
-    "share": ("share", "social", "tags", "author-bio", "meta"),
-}
-OTHER_TAGS = {"menu": "nav", "header": "header", "footer": "footer", "sidebar": "aside", "notice": "div", "advert": "div",
-              "form": "form", "comments": "section", "share": "ul"}
-_OUTSIDE = frozenset("nav header footer aside form head title menu button select dialog".split())
-
-
 def by_semantic_tags(blocks: list[Block]) -> list[int]:
-    """Label 1 inside article or main, but not inside a menu, header, footer, sidebar or form there."""
-    out = []
-    for block in blocks:
-        inner = max((k for k, t in enumerate(block.tags) if t in ("article", "main")), default=-1)
-        out.append(int(inner >= 0 and not _OUTSIDE & set(block.tags[inner:])))
-    return out
+    """Label 1 inside article or main, but not in what is set apart there, by tag or by name."""
+    return [int(block.named in (INSIDE, IN_ARTICLE)) for block in blocks]
 
 
 def _laid_out(content: list[str], other: list[str], draw: random.Random) -> str:
@@ -331,7 +359,8 @@ def _laid_out(content: list[str], other: list[str], draw: random.Random) -> str:
             words = [w for w in text().split() if "&" not in w][: draw.randint(2, 8)] or ["x"]
             body = "<ul>" + "".join(f'<li><a href="/{k}">{w}</a></li>' for k, w in enumerate(words)) + "</ul>"
         else:
-            wrap = draw.choice(("p", "div", "span", "li", "h3"))
+            cards = kind in ("comments", "sidebar") and draw.random() < 0.5
+            wrap = "article" if cards else draw.choice(("p", "div", "span", "li", "h3"))
             body = "".join(f"<{wrap}>{text()}</{wrap}>" for _ in range(draw.randint(1, 4)))
         return f'<{tag}{given} data-main="0">{body}</{tag}>'
 
@@ -343,6 +372,7 @@ def _laid_out(content: list[str], other: list[str], draw: random.Random) -> str:
         inner.append(f"<{draw.choice(('p', 'p', 'p', 'p', 'li', 'blockquote', 'h2'))}>{t}")
         if draw.random() < 0.06:
             inner.append(part(draw.choice(("advert", "share", "sidebar"))))
+    inner += [part(k) for k in ("comments", "sidebar") if draw.random() < 0.3]
     before = [part(k) for k in ("notice", "header", "menu", "advert") if draw.random() < 0.6]
     after = [part(k) for k in ("share", "comments", "sidebar", "form", "advert", "footer") if draw.random() < 0.6]
     return (f'<html><head><title data-main="0">{head}</title></head><body data-main="0">{"".join(before)}'

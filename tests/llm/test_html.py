@@ -114,3 +114,26 @@ def test_digits_and_links_count_over_the_whole_block():
     block = H.blocks_of("<p>" + "a" * 400 + "1" * 400 + "<a href=x><b><i><u><em>link text</em></u></i></b></a>")[0]
     assert block.links == len("link text")
     assert "digits3" in H.features([block])[0]
+
+
+BODY = "<p>The council met on Monday and agreed on a plan for the old harbour.</p><p>Work will start in spring, the mayor said after the vote.</p>"
+WORDS = "The council met on Monday and agreed on a plan for the old harbour. Work will start in spring, the mayor said after the vote."
+CARD = "<h3>Ten more stories</h3><p>You may like this one about boats and bridges as well.</p>"
+
+
+@pytest.mark.parametrize("page", [
+    f"<main><article>{BODY}</article><section class='comments'><article class='comment'>Reader says: I don't agree with any of this at all.</article></section></main>",
+    f"<article>{BODY}<aside><article>{CARD}</article></aside></article>",
+    f"<article>{BODY}<section class='comments'><article>A long comment by a reader, who was there as well.</article></section></article>",
+    f"<main>{BODY}<div class='related'><article>{CARD}</article></div></main>",
+    f"<aside><article>{CARD}</article></aside><article>{BODY}</article>",
+    f"<article><script src='a'/>var x = 1;</script>{BODY}<svg/></article>",
+    f"<body><nav><a href='/'>Home</a></nav><main><article>{BODY}</article></main><footer>All rights reserved.</footer></body>",
+])
+def test_hand_written_pages(spark, field_on_pages, page):
+    assert field_on_pages.text(page) == WORDS
+
+
+@pytest.fixture(scope="module")
+def field_on_pages(spark):
+    return H.fit(spark.read.parquet("/root/testdata/sf0.01/pages.parquet"))
