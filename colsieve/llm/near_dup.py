@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from colsieve.llm import sieve, textscan
@@ -85,6 +85,16 @@ _PROFILE = pa.schema([
 ])
 
 
+def _fingerprints(shingles: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
+    """Two hashes of every set; 0 of the empty one."""
+    full = np.flatnonzero(np.diff(bounds))
+    out = [np.zeros(len(bounds) - 1, np.uint64) for _ in range(2)]
+    if len(full):
+        for held, salt in zip(out, (0xA5A5, 0x5A5A5A)):
+            held[full] = np.add.reduceat(textscan.mix(shingles, salt), bounds[:-1][full])
+    return out
+
+
 def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids = batch.column(0)
@@ -92,12 +102,10 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             shingles, bounds = shingle_sets(part)
             sizes = np.diff(bounds)
             full = np.flatnonzero(sizes)
-            first, second = np.zeros(part.count, np.uint64), np.zeros(part.count, np.uint64)
+            first, second = _fingerprints(shingles, bounds)
             signatures, bands = np.zeros((0, _WORDS), np.uint64), np.zeros((0, BANDS), np.uint64)
             if len(full):
                 at = bounds[:-1][full]
-                first[full] = np.add.reduceat(textscan.mix(shingles, 0xA5A5), at)
-                second[full] = np.add.reduceat(textscan.mix(shingles, 0x5A5A5A), at)
                 least = minima(shingles, at)
                 signatures = pack(least)
                 rows = least.reshape(len(full) * BANDS, ROWS).astype(np.uint64).ravel()
@@ -115,12 +123,12 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("rep", pa.int64()), ("shingles", pa.list_(pa.int64()))])
+    schema = pa.schema([("first_id", pa.int64()), ("f1", pa.int64()), ("f2", pa.int64()), ("shingles", pa.list_(pa.int64()))])
     for batch in batches:
         for part in textscan.slices(batch.column(1)):
             shingles, bounds = shingle_sets(part)
             yield pa.RecordBatch.from_arrays([
-                batch.column(0).slice(part.first, part.count),
+                batch.column(0).slice(part.first, part.count), *map(textscan.int64, _fingerprints(shingles, bounds)),
                 textscan.large_list(textscan.int64(shingles), bounds),
             ], schema=schema)
 
@@ -220,6 +228,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         F.min("doc_id").alias("rep"), F.min_by("signature", "doc_id").alias("signature"),
         F.min_by("bands", "doc_id").alias("bands"),
     ))
+    classes, ties = _told_apart(filled, classes)
     placed = classes.select("rep", F.explode("bands").alias("key"))
     buckets = cut_lineage(placed.groupBy("key").agg(
         F.min("rep").alias("least"), F.max("rep").alias("most"), F.count("*").alias("n")
@@ -231,21 +240,31 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .unionByName(members.filter("rep <> least").select(F.col("least").alias("i"), F.col("rep").alias("j")))
         .distinct()
     )
-    wanted = cut_lineage(stars.select(F.explode(F.array("i", "j")).alias("doc_id")).distinct())
+    wanted = cut_lineage(stars.select(F.explode(F.array("i", "j")).alias("rep")).distinct())
+    asked = classes.join(wanted, "rep", "left_semi").select("first_id", "f1", "f2", "n_shingles", "rep")
+    ids = cut_lineage(asked.select(F.col("first_id").alias("doc_id")).distinct())
     sets = cut_lineage(
-        sieve.split(docs, "doc_id", wanted)[1].join(wanted, "doc_id", "left_semi").mapInArrow(_sets, "rep long, shingles array<long>")
-        .join(classes.select("rep", "n_shingles"), "rep")
-        .filter(F.size("shingles") == F.col("n_shingles")).drop("n_shingles").dropDuplicates(["rep"])
+        sieve.split(docs, "doc_id", ids)[1].join(ids, "doc_id", "left_semi").mapInArrow(
+            _sets, "first_id long, f1 long, f2 long, shingles array<long>")
+        .join(asked, ["first_id", "f1", "f2"]).filter(F.size("shingles") == F.col("n_shingles"))
+        .select("rep", "shingles").dropDuplicates(["rep"])
     )
     links = cut_lineage(_confirmed(stars, sets))
-    nodes = classes.select(F.col("rep").alias("i")).distinct()
-    labels = cut_lineage(components(wanted.select(F.col("doc_id").alias("i")), links))
+    nodes, among = classes.select(F.col("rep").alias("i")), wanted.select(F.col("rep").alias("i"))
+    if ties is not None:
+        links = links.unionByName(ties)
+        among = among.unionByName(ties.select(F.explode(F.array("i", "j")).alias("i"))).distinct()
+    labels = cut_lineage(components(among, links))
     more = cut_lineage(_leftover(members, labels, classes, sets))
     if not more.isEmpty():
         labels = components(nodes, links.unionByName(more))
-    named = classes.select("f1", "f2", "n_shingles", "rep").join(
-        labels.select(F.col("i").alias("rep"), "component"), "rep", "left"
-    ).select("f1", "f2", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
+    placed = classes.select("f1", "f2", "n_shingles", "rep", "first_id").join(
+        labels.select(F.col("i").alias("rep"), "component"), "rep", "left")
+    if ties is not None:  # a component's name is its smallest id, not the number of a class
+        placed = cut_lineage(placed)
+        least = placed.filter("component IS NOT NULL").groupBy("component").agg(F.min("first_id").alias("least"))
+        placed = placed.join(least, "component", "left").withColumn("component", F.col("least"))
+    named = placed.select("f1", "f2", "n_shingles", F.coalesce("component", "first_id").alias("component_id"))
     return profile.select("doc_id", "n_shingles", "f1", "f2").join(
         named, ["f1", "f2", "n_shingles"], "left"
     ).withColumn(
@@ -256,6 +275,26 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
+def _told_apart(filled: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Classes with a number ``rep`` of their own, and the links between those that share an id.
+
+    A class is numbered by ``first_id``, its smallest id; where several classes have the same one, as
+    an id came with different texts, all but the first are numbered by a hash.
+    """
+    plain = classes.withColumn("first_id", F.col("rep"))
+    which = F.struct("f1", "f2", "n_shingles")
+    shared = cut_lineage(filled.groupBy("doc_id").agg(F.min(which).alias("low"), F.max(which).alias("high")).filter("low < high").select("doc_id"))
+    if shared.isEmpty():
+        return plain, None
+    first = classes.groupBy("rep").agg(F.min(which).alias("first"))
+    own = F.when(which == F.col("first"), F.col("rep")).otherwise(F.xxhash64("f1", "f2", "n_shingles", "rep"))
+    told = cut_lineage(plain.join(first, "rep").withColumn("rep", own).drop("first"))
+    tied = cut_lineage(filled.join(shared, "doc_id", "left_semi").select("doc_id", "f1", "f2", "n_shingles").distinct().join(
+        told.select("f1", "f2", "n_shingles", "rep"), ["f1", "f2", "n_shingles"]).select("doc_id", "rep"))
+    least = tied.groupBy("doc_id").agg(F.min("rep").alias("i"))
+    return told, cut_lineage(tied.join(least, "doc_id").filter("rep <> i").select("i", F.col("rep").alias("j")).distinct())
+
+
 def _leftover(members: DataFrame, labels: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
     """Links between classes of a bucket that the bucket's first class leaves apart."""
     labelled = members.join(labels.select(F.col("i").alias("rep"), F.col("component").alias("label")), "rep")
@@ -276,6 +315,12 @@ def _leftover(members: DataFrame, labels: DataFrame, classes: DataFrame, sets: D
     ).distinct()
 
 
+def _least(column: str, docs: DataFrame) -> Column:
+    """The smallest of some structs of all columns; by their JSON where maps have no order."""
+    ordered = not any("map<" in kind or "variant" in kind for _, kind in docs.dtypes)
+    return F.min(column) if ordered else F.min_by(column, F.to_json(column))
+
+
 def keep_one_of_each_group(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose doc_id is the smallest of its group; of repeated rows one stays.
 
@@ -291,5 +336,5 @@ def keep_one_of_each_group(docs: DataFrame) -> DataFrame:
     single = single.unionByName(open_.join(special.select(key), same, "left_anti"))
     columns = [F.col(f"`{c}`") for c in docs.columns]
     first = open_.join(special.filter("kept").select(key), same, "left_semi").withColumn(
-        order, F.struct(*columns)).groupBy("doc_id").agg(F.min(order).alias(order))
+        order, F.struct(*columns)).groupBy("doc_id").agg(_least(order, docs).alias(order))
     return single.unionByName(first.select(*[F.col(order).getField(c).alias(c) for c in docs.columns]))

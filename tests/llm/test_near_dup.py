@@ -109,3 +109,28 @@ def test_slices_agree_with_one_scan():
     assert np.concatenate([p.hashes() for p in parts]).tolist() == whole.hashes().tolist()
     assert np.diff(whole.doc_words).tolist() == [3, 0, 0, 1, 3, 2]
     assert whole.hashes()[0] != whole.hashes()[1]
+
+
+def words(start, count):
+    return " ".join(f"word{k}x{k * 7919 % 97}" for k in range(start, start + count))
+
+
+def plain(df, *columns):
+    return sorted(tuple(r[c] for c in columns) for r in df.collect())
+
+
+def test_ids_with_different_texts_link_through_them(spark):
+    a, b = words(0, 60), words(500, 60)
+    rows = [(1, a), (1, b), (2, a + " tail"), (3, b + " tail"), (4, words(900, 60)), (5, b), (5, words(900, 60) + " tail")]
+    want = [(1, 1), (1, 1), (2, 1), (3, 1), (4, 1), (5, 1), (5, 1)]
+    for order in (rows, rows[::-1], rows[3:] + rows[:3]):
+        assert plain(near_dup.near_duplicates(spark.createDataFrame(order, "doc_id long, text string")), "doc_id", "component_id") == want
+    apart = [(7, words(k * 100, 50)) for k in range(5)] + [(8, words(200, 50) + " end"), (9, words(3000, 50))]
+    assert plain(near_dup.near_duplicates(spark.createDataFrame(apart, "doc_id long, text string")), "doc_id", "component_id") == [
+        *[(7, 7)] * 5, (8, 7), (9, 9)]
+
+
+def test_map_columns_are_kept(spark):
+    rows = [(1, words(0, 60), {"k": 1}), (1, words(0, 60), {"k": 2}), (2, words(0, 60), None), (3, words(300, 60), {})]
+    kept = near_dup.keep_one_of_each_group(spark.createDataFrame(rows, "doc_id long, text string, extra map<string,int>"))
+    assert [(r["doc_id"], r["extra"]) for r in kept.orderBy("doc_id").collect()] == [(1, {"k": 1}), (3, {})]
