@@ -223,7 +223,7 @@ def mixed_shards(docs: DataFrame, placed: DataFrame, targets: DataFrame, block:
     texts = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
         F.xxhash64(text, text.isNull()).alias("digest"), text.alias("text"),
-    ).filter(_may_be_among(uses.select("digest"), "digest")).withColumn("size", n_words(F.col("text"))).filter("size > 0").select(*_identity(), "text").groupBy("id", "digest").agg(F.first("text").alias("text"))
+    ).filter(_may_be_among(uses.select("digest"), "digest")).withColumn("size", n_words(F.col("text"))).select(*_identity(), "text").groupBy("id", "digest").agg(F.first("text").alias("text"))
 
     def cut(words: Column) -> Column:
         return F.transform("uses", lambda u: F.struct(
