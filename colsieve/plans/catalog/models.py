@@ -306,6 +306,11 @@ def train_gaussian_process(spark, folder):
     return _experiments(spark, folder, ["GPR"])
 
 
+@query()
+def train_fourier_process(spark, folder):
+    return _experiments(spark, folder, ["FourierGPR"])
+
+
 @query()
 def reduce_columns(spark, folder):
     """Passes 1 to 4 and the lineage on the planted columns."""

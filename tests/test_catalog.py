@@ -5,7 +5,7 @@ import pytest
 from colsieve.plans.catalog import CATALOG
 from oracle import compare, connect
 
-SLOW = {"train_trees", "train_boosted", "train_gaussian_process", "train_linear", "reduce_columns"}
+SLOW = {"train_trees", "train_boosted", "train_gaussian_process", "train_fourier_process", "train_linear", "reduce_columns"}
 
 
 @pytest.fixture(scope="module")

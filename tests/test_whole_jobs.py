@@ -11,7 +11,8 @@ from colsieve.plans.catalog import CATALOG, models, similarities
 
 
 @pytest.mark.parametrize("name, model", [
-    ("train_trees", "RandomForest"), ("train_boosted", "XGBoost"), ("train_gaussian_process", "GPR")])
+    ("train_trees", "RandomForest"), ("train_boosted", "XGBoost"), ("train_gaussian_process", "GPR"),
+    ("train_fourier_process", "FourierGPR")])
 def test_training_runs_with_default_sizes(spark, small, monkeypatch, name, model):
     runs = []
 
