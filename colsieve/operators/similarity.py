@@ -12,7 +12,8 @@ from colsieve.functions.normal import normal_scores
 from colsieve.operators.gram import (
     STATE_BYTES, STEP_CELLS, accumulate, as_partials, cross_products, matrix, panels, spread,
 )
-from colsieve.operators.profile import average_ranks, moments
+from colsieve.operators.profile import moments
+from colsieve.operators.ranks import mean_ranks
 from colsieve.session import cut_lineage
 
 # Bytes of CDF tables that may travel with a kernel.
@@ -180,17 +181,12 @@ def pearson_pairwise(df: DataFrame, columns: list[str]) -> DataFrame:
 def rank_correlation(df: DataFrame, columns: list[str]) -> DataFrame:
     """Spearman's rho over the complete rows, ties at their mean rank: long ``(i, j, s)``.
 
-    Values meet their ranks by joins on the value; equal values share one rank row, so a
-    column with few distinct values joins by broadcast and needs no shuffle.
+    Ranks come as one array a row (``operators.ranks``), in two shuffles for any number of columns.
     """
-    whole = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in columns]).na.drop()
-    ranks = cut_lineage(average_ranks(whole, columns))
-    n = whole.count()
-    ranked = whole
-    for i, c in enumerate(columns):
-        own = ranks.filter(F.col("pos") == i).select(F.col("value").alias(c), F.col("rank").alias(f"_r{i}"))
-        ranked = ranked.join(own, c).drop(c)
     p = len(columns)
+    ranks = mean_ranks(df, columns)
+    n = df.select(*[F.col(f"`{c}`").cast("double").alias(f"_{k}") for k, c in enumerate(columns)]).na.drop().count()
+    ranked = ranks.select(*[F.col("ranks")[k].alias(f"_r{k}") for k in range(p)])
     total = cross_products(
         ranked, [f"_r{i}" for i in range(p)], np.full(p, (n + 1) / 2), np.full(p, max(n, 1) / 12**0.5)
     )
