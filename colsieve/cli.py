@@ -99,6 +99,7 @@ def build_parser() -> argparse.ArgumentParser:
     train.add_argument("--output-dir", default="ml_output")
     train.add_argument("--descriptor-sizes", default=",".join(map(str, SIZES)))
     train.add_argument("--descriptor-mode", choices=MODES, default="sequential")
+    train.add_argument("--random-per-cluster", type=int, default=0, help="alternatives drawn per cluster in mode mixed")
     train.add_argument("--models")
     train.add_argument("--test-size", type=float, default=0.2)
     train.add_argument("--cv-folds", type=int, default=5)
@@ -140,7 +141,7 @@ def _train(spark, args) -> dict:
     try:
         sizes = [int(s) for s in args.descriptor_sizes.split(",")]
         models = args.models.split(",") if args.models else MODELS
-        results = runs.run(sizes, args.descriptor_mode, models)
+        results = runs.run(sizes, args.descriptor_mode, models, args.random_per_cluster)
         runs.save(args.output_dir)
         if not args.no_plots and runs.results:
             save_plot_data(runs, results, args.output_dir)

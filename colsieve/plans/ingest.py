@@ -6,7 +6,6 @@ import hashlib
 import json
 from dataclasses import asdict, replace
 from functools import partial
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,8 +22,11 @@ from colsieve.operators.structures import rdkit_toolkit, with_structures
 from colsieve.functions.text import PROPERTY_ALIASES
 from colsieve.plans.reduction import Reduction
 from colsieve.session import cut_lineage
+from colsieve.sources.audit import XML_FILES, holds_files, listed_files, skipped_files
 from colsieve.sources.records import as_rows, read_xml, rejected
-from colsieve.sources.tables import METADATA, enforce_schema, files_identity, load_master_schema, master_schema, read_table
+from colsieve.sources.tables import (
+    METADATA, TABLE_FILES, enforce_schema, files_identity, is_glob, load_master_schema, master_schema, read_table,
+)
 
 
 def read_records(
@@ -33,16 +35,20 @@ def read_records(
 ) -> DataFrame:
     """Record rows from XML, CSV or Parquet.
 
-    XML rejects go to ``errors``, their number by kind to ``errors``_summary, and what the filter
-    let pass to ``errors``_filter.
+    XML rejects go to ``errors``, their number by kind to ``errors``_summary, files that gave no
+    record to ``errors``_files, and what the filter let pass to ``errors``_filter. A broken file
+    doesn't stop the others.
     """
     names = path.lower()
-    folder_of_xml = Path(path).is_dir() and any(Path(path).rglob("*.xml*"))
-    if not (names.endswith((".xml", ".xml.gz")) or folder_of_xml):
+    one_file = names.endswith((".xml", ".xml.gz"))
+    folder_of_xml = not (one_file or names.endswith(TABLE_FILES) or is_glob(path)) and holds_files(spark, path, XML_FILES)
+    if not (one_file or folder_of_xml):
         return read_table(spark, path)
     records = read_xml(spark, path, recursive=folder_of_xml)
     if errors:
         records = cut_lineage(records)  # parsed once, used twice
+        missed = skipped_files(listed_files(spark, path, XML_FILES if folder_of_xml else None), records)
+        sinks.write_table(missed, f"{errors}_files", "tsv")
         bad = rejected(records)
         sinks.write_table(bad, errors, "csv")
         counted = error_summary(bad, "error", "cid")

@@ -43,11 +43,12 @@ RECORD_SCHEMA = T.StructType(
 
 
 def read_xml(spark: SparkSession, path: str | list[str], recursive: bool = False) -> DataFrame:
-    """Parsed records of plain or gzipped files; a broken record keeps only its raw text."""
+    """Parsed records of plain or gzipped files; a broken record keeps only its raw text, a broken
+    file gives what was read before the fault (``sources.audit`` lists files that gave nothing)."""
     reader = (
         spark.read.format("xml").option("rowTag", ROW_TAG).option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT).option("ignoreNamespace", "true")
-        .schema(RECORD_SCHEMA)
+        .option("ignoreCorruptFiles", "true").schema(RECORD_SCHEMA)
     )
     if recursive:
         reader = reader.option("recursiveFileLookup", "true").option(
