@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from colsieve.operators import communities as C
 from colsieve.operators import graph as G
 from colsieve.operators import lineage as L
 from colsieve.operators import profile as P
@@ -123,7 +125,15 @@ def knn_graph(spark, folder):
     return G.nearest_neighbours(pairs).select("a", "b", r6("weight").alias("weight"))
 
 
-# -- components and lineage over data-sized graphs ----------------------------------------------
+@query()
+def leiden_knn(spark, folder):
+    """Communities of the columns' nearest-neighbour graph; a test holds them to brute force."""
+    edges = cut_lineage(knn_graph(spark, folder))
+    nodes = spark.range(len(DIMS)).select(F.col("id").alias("node"))
+    return C.leiden(nodes, edges, resolution=0.001)
+
+
+# -- communities, components and lineage over data-sized graphs ----------------------------------------------
 
 @query("""
 WITH RECURSIVE e AS (SELECT o_custkey AS c, o_orderkey AS o FROM orders),
@@ -143,6 +153,20 @@ def order_components(spark, folder):
     return G.components(nodes, edges).select(F.col("i").alias("node"), "component")
 
 
+@query("""
+SELECT o_orderkey AS node, min(o_orderkey) OVER (PARTITION BY o_custkey, year(o_orderdate)) AS community FROM orders
+""")
+def leiden_orders(spark, folder):
+    """Orders linked to the customer's next one, weakly across years: a year's orders are a community."""
+    orders = table(spark, folder, "orders")
+    order = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
+    chain = orders.select(
+        F.col("o_orderkey").alias("a"), F.lead("o_orderkey").over(order).alias("b"),
+        F.when(F.year("o_orderdate") == F.year(F.lead("o_orderdate").over(order)), 1.0).otherwise(1e-6).alias("weight"))
+    nodes = orders.select(F.col("o_orderkey").alias("node"))
+    return C.leiden(nodes, chain, resolution=1e-5)
+
+
 # Every order absorbed by another: survivors in three steps, kept ones are multiples of 50.
 LINKS_SQL = """
 links AS (SELECT o_orderkey AS removed, o_orderkey // 3 AS survivor, 2 + o_orderkey % 3 AS step
