@@ -4,7 +4,8 @@ The pattern of a double, with its sign turned, sorts like the double. A step cut
 holds a wanted rank into equal parts; tasks count their rows in each part and note the least and
 greatest pattern seen there. Added up, the counts tell which parts hold wanted ranks; these are the
 next intervals, as narrow as their own values. A part with one value answers its ranks. What a task
-sends in a step is bounded by ``CELLS``, whatever the number of rows.
+sends in a step is bounded by ``CELLS``, whatever the number of rows. Spark adds up equal parts of all
+tasks, so what a Python worker holds depends neither on the rows nor on the number of tasks.
 """
 
 from __future__ import annotations
@@ -19,7 +20,8 @@ from pyspark.sql import functions as F
 
 from colsieve.operators.gram import TASKS_PER_CORE, matrix
 
-CELLS = 1 << 22  # parts that one task counts in a step, over all columns
+CELLS = 1 << 18  # parts that one task counts in a step, over all columns
+CHUNK_BITS = 14  # parts looked through at a time, or those of one interval
 MOST_BITS = 16  # an interval is cut into 2**16 parts at most
 HELD_VALUES = 1 << 20  # values put in order at a time
 TOP = np.uint64(1 << 63)
@@ -62,14 +64,20 @@ def _counted(code: np.ndarray, n: np.ndarray, low: np.ndarray, high: np.ndarray)
     return code[begin], np.add.reduceat(n, begin), np.minimum.reduceat(low, begin), np.maximum.reduceat(high, begin)
 
 
+def _signed(patterns: np.ndarray) -> np.ndarray:
+    """The same order in Spark's signed numbers."""
+    return (patterns ^ TOP).view(np.int64)
+
+
 def _merged(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
     joined = [np.concatenate(c) for c in zip(*parts)]
     order = np.argsort(joined[0], kind="stable")
     return _counted(*[c[order] for c in joined])
 
 
-PARTIAL = "pos int, code binary, n binary, low binary, high binary"
+PARTIAL = "pos int, chunk long, code long, n long, low long, high long"
 FOUND = "pos int, low binary, high binary, first binary, n binary, valid long"
+FIELDS = [f.split()[0] for f in PARTIAL.split(", ")]
 WHOLE = (np.zeros(1, np.uint64), np.full(1, np.uint64(2**64 - 1)), np.zeros(1, np.int64))
 
 
@@ -108,27 +116,33 @@ def _step(df: DataFrame, open_intervals: dict[int, Intervals], valid: dict[int,
             put()
         for p, found in held.items():
             if found:
-                yield pa.RecordBatch.from_pydict({
-                    "pos": pa.array([p], pa.int32()), **{n: [c.tobytes()] for n, c in zip(("code", "n", "low", "high"), _merged(found))}})
+                code, n, low, high = _merged(found)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.full(len(code), p, np.int32)), pa.array(code >> max(intervals[p].bits, CHUNK_BITS)),
+                    pa.array(code), pa.array(n), pa.array(_signed(low)), pa.array(_signed(high))], names=FIELDS)
 
     def narrow(key, table):
         intervals, known = sent.value
         p = key[0].as_py()
-        kinds = (np.int64, np.int64, np.uint64, np.uint64)
-        columns = [table.column(c).to_pylist() for c in ("code", "n", "low", "high")]
-        code, n, low, high = _merged([tuple(np.frombuffer(b, k) for b, k in zip(row, kinds)) for row in zip(*columns)])
-        total = known.get(p, int(n.sum()))
+        code, n, low, high = (table.column(c).to_numpy() for c in ("code", "n", "low", "high"))
+        order = np.argsort(code)
+        code, n = code[order], n[order]
+        low, high = (c[order].view(np.uint64) ^ TOP for c in (low, high))
+        total = known.get(p, int(n.sum()))  # the first step has one interval, and so one chunk
         at = code >> intervals[p].bits
-        begin = np.concatenate([[0], np.flatnonzero(np.diff(at)) + 1]) if len(at) else np.zeros(0, np.int64)
+        begin = np.concatenate([[0], np.flatnonzero(np.diff(at)) + 1])
         before = np.cumsum(n) - n
         first = intervals[p].first[at] + before - np.repeat(before[begin], np.diff(np.append(begin, len(at))))
-        ranks = wanted_ranks(probs, total) if total else np.zeros(0, np.int64)
+        ranks = wanted_ranks(probs, total)
         keep = np.searchsorted(ranks, first) < np.searchsorted(ranks, first + n)
         return pa.table({"pos": pa.array([p], pa.int32()), **{c: [v[keep].tobytes()] for c, v in (("low", low), ("high", high), ("first", first), ("n", n))},
                          "valid": pa.array([total], pa.int64())})
 
     tasks = max(TASKS_PER_CORE * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return df.coalesce(tasks).mapInArrow(count, PARTIAL).groupBy("pos").applyInArrow(narrow, FOUND).collect()
+    # One shuffle: equal parts are added up where their chunk is.
+    dealt = df.coalesce(tasks).mapInArrow(count, PARTIAL).repartition("pos", "chunk")
+    added = dealt.groupBy("pos", "chunk", "code").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
+    return added.groupBy("pos", "chunk").applyInArrow(narrow, FOUND).collect()
 
 
 def order_statistics(df: DataFrame, probs: list[float]) -> dict[int, tuple[int, np.ndarray, np.ndarray]]:
@@ -143,6 +157,7 @@ def order_statistics(df: DataFrame, probs: list[float]) -> dict[int, tuple[int,
     known: dict[int, list] = {}
     while intervals:
         found, intervals = _step(df, intervals, valid, asked), {}
+        wider: dict[int, list] = {}
         for row in found:
             p, valid[row["pos"]] = row["pos"], row["valid"]
             low, high = np.frombuffer(row["low"], np.uint64), np.frombuffer(row["high"], np.uint64)
@@ -150,7 +165,11 @@ def order_statistics(df: DataFrame, probs: list[float]) -> dict[int, tuple[int,
             one = low == high
             known.setdefault(p, []).append((first[one], n[one], low[one]))
             if not one.all():
-                intervals[p] = Intervals(low[~one], high[~one], first[~one], cells)
+                wider.setdefault(p, []).append((low[~one], high[~one], first[~one]))
+        for p, parts in wider.items():
+            low, high, first = (np.concatenate(c) for c in zip(*parts))
+            order = np.argsort(low)  # chunks arrive in any order
+            intervals[p] = Intervals(low[order], high[order], first[order], cells)
     out = {}
     for p, parts in known.items():
         first, _, low = (np.concatenate(c) for c in zip(*parts))

@@ -57,3 +57,19 @@ def test_what_moves_does_not_follow_the_rows(spark):
     """Tasks send counts of parts: at most one record per task and column in a step."""
     df = spark.range(200_000, numPartitions=4).selectExpr("cast(id as double) a")
     assert order_statistics(df, [0.5])[0][2].tolist() == [99_999.0, 100_000.0]
+
+
+def test_groups_stay_small_with_many_tasks(spark, monkeypatch):
+    """A group holds the parts of one chunk once, however many tasks counted them."""
+    monkeypatch.setattr(selection, "CELLS", 4096)
+    monkeypatch.setattr(selection, "CHUNK_BITS", 5)
+    x = np.random.default_rng(5).normal(size=20_000)
+    df = spark.createDataFrame([(float(v),) for v in x], "a double").repartition(16)
+    sizes, real = [], selection.Intervals.__init__
+    monkeypatch.setattr(selection.Intervals, "__init__", lambda self, *a: (real(self, *a), sizes.append(len(self.low) << self.bits))[0])
+    probs = [k / 200 for k in range(201)]
+    n, ranks, values = order_statistics(df, probs)[0]
+    assert n == len(x) and (values == np.sort(x)[ranks]).all()
+    assert max(sizes) <= 4096
+    assert selection.CHUNK_BITS == 5 and "chunk" in selection.FIELDS
+    assert "binary" not in selection.PARTIAL  # Spark adds up the tasks' parts, no Python group gathers them
