@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from colsieve.functions.hashing import projections
-from colsieve.functions.normal import normal_scores
+from colsieve.functions.normal import PROB_EPS, normal_scores, phi_inv
 from colsieve.operators.gram import (
-    STATE_BYTES, STEP_CELLS, accumulate, as_partials, cross_products, matrix, panels, spread,
+    STATE_BYTES, STEP_CELLS, accumulate, as_partials, collect_blocks, cross_products, matrix, panels, spread,
 )
 from colsieve.operators.profile import moments
 from colsieve.operators.ranks import mean_ranks
@@ -18,6 +18,11 @@ from colsieve.session import cut_lineage
 
 # Bytes of CDF tables that may travel with a kernel.
 TABLE_BYTES = 256 << 20
+# Largest Gram matrix of basis functions that the driver takes, and rows per inner step.
+BASIS_BYTES = 64 << 20
+BASIS_ROWS = 2048
+# No normal score lies further out; scores are bounded as probabilities are.
+REACH = float(np.abs(phi_inv(np.array([PROB_EPS, 1.0 - PROB_EPS]))).max()) * (1 + 1e-12)
 
 
 def collect_cdfs(tables: DataFrame, columns: list[str]) -> np.ndarray:
@@ -198,19 +203,94 @@ def _sines(z: np.ndarray, weights: np.ndarray) -> np.ndarray:
     return np.sin(z.T[:, :, None] * weights[:, None, :])
 
 
+def sine_coefficients(weights: np.ndarray) -> np.ndarray:
+    """sin(w REACH t) as sums of odd Chebyshev polynomials of t in [-1, 1]: (column, feature, term).
+
+    The sums differ from the sines by rounding only; the terms needed follow the largest weight.
+    """
+    top = float(np.abs(weights).max()) * REACH
+    nodes = 2 * int(np.ceil(top)) + 64
+    angle = np.pi * (np.arange(nodes) + 0.5) / nodes
+    cosines = np.cos(np.outer(angle, np.arange(1, nodes, 2))) * (2 / nodes)
+    largest = np.abs(np.sin(top * np.cos(angle)) @ cosines)
+    terms = int(np.flatnonzero(largest > 1e-15)[-1]) + 1 if top else 1
+    return np.stack([np.sin(np.outer(w, REACH * np.cos(angle))) @ cosines[:, :terms] for w in weights])
+
+
+def _basis(z: np.ndarray, terms: int) -> np.ndarray:
+    """1 and the first odd Chebyshev polynomials of every column, one row per function."""
+    t = z.T / REACH
+    out = np.empty((1 + t.shape[0] * terms, t.shape[1]))
+    out[0] = 1.0
+    each = out[1:].reshape(t.shape[0], terms, -1)
+    twice = 4 * t * t - 2
+    before, now = t, t
+    for k in range(terms):
+        each[:, k] = now
+        before, now = now, twice * now - before
+    return out
+
+
+def _dependence_of(total: np.ndarray, coefficients: np.ndarray, sizes: list[int]) -> np.ndarray:
+    """Per block the mean correlation of the features, from summed products of basis functions."""
+    p, features, terms = coefficients.shape
+    n = max(total[0, 0], 1.0)
+    grams = total[1:, 1:].reshape(p, terms, p, terms) / n
+    means = np.stack([coefficients[i] @ total[0, 1 + i * terms : 1 + (i + 1) * terms] / n for i in range(p)])
+    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(int)
+    cov = np.empty((p, p, features))
+    for i in range(p):
+        for j in range(i, p):
+            product = ((coefficients[i] @ grams[i, :, j]) * coefficients[j]).sum(1)
+            cov[i, j] = cov[j, i] = product - means[i] * means[j]
+    variance = np.clip(cov[np.arange(p), np.arange(p)], 0, None)
+    deviation = np.sqrt(variance * n / max(n - 1, 1))
+    deviation[deviation < 1e-6] = np.inf  # rounding; such a feature doesn't vary
+    return np.add.reduceat(cov / (deviation[:, None] * deviation[None]), starts, axis=2) / np.array(sizes)
+
+
+def _by_basis(df: DataFrame, columns: list[str], knots: np.ndarray, coefficients: np.ndarray, sizes: list[int]) -> DataFrame:
+    spark, (p, _, terms) = df.sparkSession, coefficients.shape
+    tables = spark.sparkContext.broadcast(knots)  # at most TABLE_BYTES
+    size = 1 + p * terms
+
+    def kernel(batches):
+        total = np.zeros((size, size))
+        for batch in batches:
+            z = scores_of(matrix(batch, columns), tables.value)
+            for at in range(0, len(z), BASIS_ROWS):
+                functions = _basis(z[at : at + BASIS_ROWS], terms)
+                total += functions @ functions.T
+        yield from as_partials([total])
+
+    source = spread(df.select(*[F.col(f"`{c}`") for c in columns]))
+    found = _dependence_of(collect_blocks(accumulate(source, kernel), 1, size)[0], coefficients, sizes)
+    i, j, block = (x.ravel() for x in np.meshgrid(np.arange(p), np.arange(p), np.arange(len(sizes)), indexing="ij"))
+    rows = pa.table({"block": pa.array(block, pa.int32()), "i": pa.array(i, pa.int32()), "j": pa.array(j, pa.int32()),
+                     "s": np.clip(found, -1, 1).ravel()})
+    return spark.createDataFrame(rows, "block int, i int, j int, s double")
+
+
 def sine_dependence(
     df: DataFrame, columns: list[str], knots: np.ndarray | None, weights,
 ) -> DataFrame:
     """Mean correlation of random sine features per weight block: ``(block, i, j, s)``.
 
     ``weights`` holds one (column, feature) array per block; blocks may differ in their number
-    of features and share their scans. The first scan finds mean and deviation of every
+    of features and share their scans. With ``knots`` the columns are bounded normal scores, so every
+    sine is a sum of a few polynomials of them: one scan adds up the products of polynomials, whatever
+    the number of features, and the features' sums follow from these. Where that matrix is too large
+    (``BASIS_BYTES``), or columns have no bound, there are two scans over the features. The first scan finds mean and deviation of every
     feature, the second adds up products of standardised features. With ``knots`` the columns
     pass through normal scores first. Blocks are split over several pairs of scans where their
     matrices would not fit in a task.
     """
     p = len(columns)
     weights = [np.asarray(w) for w in weights]
+    if knots is not None:
+        coefficients = sine_coefficients(np.concatenate(weights, axis=1))
+        if 8 * (1 + p * coefficients.shape[2]) ** 2 <= BASIS_BYTES:
+            return _by_basis(df, columns, knots, coefficients, [w.shape[1] for w in weights])
     context = df.sparkSession.sparkContext
     source = spread(df.select(*[F.col(f"`{c}`") for c in columns]))
     tables = context.broadcast(knots)  # at most TABLE_BYTES

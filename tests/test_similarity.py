@@ -225,3 +225,26 @@ def test_shared_scans_give_both_dependences(planted):
     h, r = similarity.both_dependences(df, names, knots, 42, 4, 6, 3, 2)
     assert as_matrix(h, 3) == pytest.approx(as_matrix(similarity.hsic_like(df, names, knots, 42, 6, 4), 3), abs=1e-12)
     assert as_matrix(r, 3) == pytest.approx(as_matrix(similarity.rdc_like(df, names, knots, 42, 3, 4, 2), 3), abs=1e-12)
+
+
+def test_features_from_basis_functions_equal_features_from_rows(spark, monkeypatch):
+    """One scan of polynomials gives the sums that two scans over the sines give."""
+    g = np.random.default_rng(8)
+    a = g.normal(size=3000)
+    x = np.column_stack([a, a + g.normal(size=3000) * 0.3, np.where(g.random(3000) < 0.3, np.nan, a * a), g.integers(0, 4, 3000), np.full(3000, 2.5)])
+    names = [f"c{k}" for k in range(5)]
+    df = spark.createDataFrame([tuple(None if np.isnan(v) else float(v) for v in r) for r in x], ", ".join(f"{c} double" for c in names))
+    knots = similarity.collect_cdfs(profile.cdf_tables(df, names, 100), names)
+    weights = [3 * g.normal(size=(5, 7)), g.normal(size=(5, 4)), np.full((5, 1), 1e-3)]
+    assert np.abs(similarity.sine_coefficients(weights[0]) @ similarity._basis(np.linspace(-7, 7, 201)[:, None], similarity.sine_coefficients(weights[0]).shape[2])[1:]
+                  - np.sin(weights[0][:, :, None] * np.linspace(-7, 7, 201))).max() < 1e-13
+    got = {}
+    for room in (similarity.BASIS_BYTES, 0):
+        monkeypatch.setattr(similarity, "BASIS_BYTES", room)
+        found = similarity.sine_dependence(df, names, knots, weights)
+        got[room] = {(r["block"], r["i"], r["j"]): r["s"] for r in found.collect()}
+    fast, slow = got.values()
+    assert fast.keys() == slow.keys() and len(fast) == 75
+    constant = [k for k in fast if 4 in k[1:]]
+    assert max(abs(fast[k] - slow[k]) for k in fast.keys() - set(constant)) < 1e-10
+    assert all(abs(fast[k]) < 1e-6 for k in constant)
