@@ -13,6 +13,8 @@ Items are indexed in shards of bounded size, each broadcast for one pass over th
 from __future__ import annotations
 
 import math
+from array import array
+from bisect import bisect_left
 from collections import defaultdict
 
 import numpy as np
@@ -83,6 +85,10 @@ class Index:
         self.impacts = [w / full[at] for w, at in zip(self.impacts, self.items, strict=True)]
         self.most = np.array([w.max() for w in self.impacts])
         self.block_most = [np.maximum.reduceat(w, np.arange(0, len(w), POSTINGS)) for w in self.impacts]
+        # the same lists in a form whose single places are read fast, for retrieve
+        self.places = [array("q", at.tolist()) for at in self.items]
+        self.weights = [array("d", w.tolist()) for w in self.impacts]
+        self.tops, self.block_tops = self.most.tolist(), [array("d", w.tolist()) for w in self.block_most]
         # essential terms: of each item the rarest, until the others can't reach 1 - ESSENTIAL
         own_terms: dict[int, list[tuple[float, int]]] = defaultdict(list)
         for t, (at, weight) in enumerate(zip(self.items, self.impacts, strict=True)):
@@ -117,13 +123,14 @@ class Index:
     def retrieve(self, terms: list[int], threshold: float = THRESHOLD) -> list[tuple[int, float]]:
         """Every item whose score for these terms reaches the threshold, by block-max WAND."""
         found, limit, end = [], threshold - 1e-9, len(self.ids)
+        places, tops, block_tops = self.places, self.tops, self.block_tops
         at = dict.fromkeys(terms, 0)
-        here = {t: int(self.items[t][0]) for t in terms}
+        here = {t: places[t][0] for t in terms}
 
         def skip_to(t: int, item: int) -> None:
-            at[t] += int(np.searchsorted(self.items[t][at[t]:], item))
-            if at[t] < len(self.items[t]):
-                here[t] = int(self.items[t][at[t]])
+            at[t] = bisect_left(places[t], item, at[t])
+            if at[t] < len(places[t]):
+                here[t] = places[t][at[t]]
             else:
                 del at[t], here[t]
 
@@ -131,17 +138,17 @@ class Index:
             order = sorted(here, key=here.get)
             bound, pivot = 0.0, end
             for t in order:
-                bound += self.most[t]
+                bound += tops[t]
                 if bound >= limit:
                     pivot = here[t]
                     break
             if pivot == end:
                 break
             ahead = [t for t in order if here[t] <= pivot]
-            blocks = {t: (at[t] + int(np.searchsorted(self.items[t][at[t]:], pivot))) // POSTINGS for t in ahead}
-            ceiling = sum(float(self.block_most[t][b]) for t, b in blocks.items() if b < len(self.block_most[t]))
+            blocks = {t: bisect_left(places[t], pivot, at[t]) // POSTINGS for t in ahead}
+            ceiling = sum(block_tops[t][b] for t, b in blocks.items() if b < len(block_tops[t]))
             if ceiling < limit:
-                last = [int(self.items[t][min((b + 1) * POSTINGS, len(self.items[t])) - 1]) + 1 for t, b in blocks.items()]
+                last = [places[t][min((b + 1) * POSTINGS, len(places[t])) - 1] + 1 for t, b in blocks.items()]
                 after = [here[t] for t in order if here[t] > pivot]
                 following = max(min([x for x in last if x > pivot] + after[:1], default=pivot + 1), pivot + 1)
                 for t in ahead:
@@ -152,7 +159,7 @@ class Index:
                 if here[t] < pivot:
                     skip_to(t, pivot)
                 if here.get(t) == pivot:
-                    score += float(self.impacts[t][at[t]])
+                    score += self.weights[t][at[t]]
             if score >= limit:
                 found.append((pivot, score))
             for t in ahead:

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -94,3 +95,23 @@ def test_awkward_rows(spark, awkward, clashing, no_docs):
     assert decontaminate.keep_clean(clashing, items).columns == clashing.columns
     assert decontaminate.leaked(no_docs, items).count() == 0
     assert decontaminate.leaked(awkward, items.filter("false")).count() == 0
+
+
+def test_retrieval_reads_places_without_numpy_calls(monkeypatch):
+    """Most of the operator's time went into NumPy calls on lists of a few places."""
+    texts = [" ".join(f"w{(k * 7 + j * j) % 40}" for j in range(12)) for k in range(60)]
+    index = decontaminate.Index(list(enumerate(texts)))
+    part = next(textscan.slices(pa.array(texts)))
+    terms = np.unique(index.term_of(part.hashes())).tolist()
+    scores = np.zeros(len(index.ids))
+    for t in terms:
+        scores[index.items[t]] += index.impacts[t]
+    want = [(i, round(float(s), 9)) for i, s in enumerate(scores) if s >= 0.4]
+
+    def none(*_):
+        raise AssertionError("a NumPy call for one place")
+
+    monkeypatch.setattr(decontaminate.np, "searchsorted", none)
+    got = index.retrieve(terms)
+    assert [(i, round(s, 9)) for i, s in got] == want and len(want) == 60
+    assert index.retrieve(terms, 1.5) == []
