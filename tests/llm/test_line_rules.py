@@ -45,3 +45,20 @@ def test_awkward_rows(spark, awkward, clashing, no_docs):
     for frame in (awkward, clashing):
         assert sorted(map(tuple, line_rules.quality_rules(frame).collect()), key=repr) == want
     assert line_rules.quality_rules(no_docs).count() == 0
+
+
+def test_removed_words_are_those_that_left_the_text(spark, monkeypatch):
+    """The verdict rests on lines that are taken out, in passes of a few common lines each."""
+    monkeypatch.setattr(line_rules, "PIECE_LINES", 2)
+    docs = [(k, f"Top  bar\nown {k} " + " ".join(f"t{k}x{j}" for j in range(9)) + f"\n\nfoot {k % 2}\ntop BAR\nside\nend", "s") for k in range(12)]
+    docs += [(20, None, "s"), (21, "", None), (22, "Top bar\nside", None), (22, "Top bar\nside", None)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, source string")
+    rows = line_rules.clean(frame, max_documents=5).collect()
+    assert len(rows) == len(docs)
+    for r in rows:
+        assert r.n_words - r.n_removed_words == len(WORD.findall(r.text))
+    texts = {r.doc_id: r.text for r in rows}
+    assert texts[3].startswith("own 3 ") and texts[3].count("\n") == 1 and texts[3].endswith("x8\n")
+    assert texts[20] == texts[21] == "" and texts[22] == "Top bar\nside"
+    got = line_rules.quality_rules(frame, max_documents=5)
+    assert sorted(map(tuple, got.collect()), key=repr) == brute_force(docs, 5, line_rules.MAX_LOST)
