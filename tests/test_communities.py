@@ -111,6 +111,59 @@ def test_cliques_hubs_and_awkward_rows(spark):
     assert set(alone.values()) == {0}
 
 
+def test_rounds_run_only_over_parts_that_may_end_divided(spark, monkeypatch):
+    links = [
+        (0, 1, 1.0), (1, 2, 1.0), (2, 3, 1.0), (0, 2, 0.01),  # 4 pairs at 0.1 across a cut of the chain
+        (10, 11, 0.9), (11, 12, 0.9), (10, 12, 0.9), (3, 10, 0.09), (3, 12, 0.09),
+        (20, 21, 0.3), (21, 22, 0.3), (22, 23, 0.3), (23, 24, 0.3), (12, 20, 0.05),  # 6 pairs at 0.1
+        (30, 31, 0.05)]
+    ids = [*range(4), 10, 11, 12, *range(20, 25), 30, 31]
+    nodes, edges = spark.createDataFrame([(i,) for i in ids], "node long"), frame(spark, links, 1)[1]
+    seen, settle = set(), C._settle
+
+    def watched(points, *args, **options):
+        seen.update(r["node"] for r in points.collect())
+        return settle(points, *args, **options)
+
+    monkeypatch.setattr(C, "_settle", watched)
+    part = members(C.leiden(nodes, edges, 0.1))
+    assert seen == set(range(20, 25))
+    want = {**dict.fromkeys(range(4), 0), **dict.fromkeys((10, 11, 12), 10), 30: 30, 31: 31}
+    assert {n: c for n, c in part.items() if n not in seen} == want
+    assert connected(links, part) and best_move(links, part, 0.1) < 1e-6
+    points = nodes.withColumn("size", F.lit(1.0))
+    assert members(C._rounds(points, C._links(points, edges), 0.1, 0).withColumnRenamed("comm", "community")) == part
+
+
+def test_a_part_at_the_bound_goes_through_the_rounds(spark):
+    def whole(n, weight, resolution):
+        chain = [(k, k + 1, weight) for k in range(n - 1)]
+        nodes, edges = frame(spark, chain, n)
+        return {r["whole"] for r in C._parts(nodes, C._links(nodes, edges), resolution).collect()}
+
+    assert whole(4, 1.0, 0.25) == {False}
+    assert whole(4, 1.0, 0.2499) == {True}
+    assert whole(633, 1.0, 1e-5) == {False} and whole(632, 1.0, 1e-5) == {True}
+
+
+def test_orders_of_a_year_need_no_rounds(spark, tmp_path, monkeypatch):
+    rows = [(c * 100 + (7 * k) % 23, c, f"{1992 + k // 8}-0{1 + k % 8}-01") for c in range(3) for k in range(23)]
+    rows += [(900, None, "1992-01-01"), (901, 4, None), (901, 4, None)]
+    orders = spark.createDataFrame(rows, "o_orderkey long, o_custkey long, day string")
+    orders.select("o_orderkey", "o_custkey", F.to_timestamp("day").alias("o_orderdate")).write.parquet(
+        f"{tmp_path}/orders.parquet")
+
+    def none(*args, **options):
+        raise AssertionError("a round")
+
+    monkeypatch.setattr(C, "_settle", none)
+    groups = {}
+    for key, customer, day in rows:
+        groups.setdefault((customer, day and day[:4]), set()).add(key)
+    want = {key: min(keys) for keys in groups.values() for key in keys}
+    assert members(CATALOG["leiden_orders"][0](spark, str(tmp_path))) == want
+
+
 def test_empty_graphs(spark):
     nodes, edges = frame(spark, [], 3)
     assert members(C.leiden(nodes, edges)) == {0: 0, 1: 1, 2: 2}
